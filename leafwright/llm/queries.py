@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leafwright.llm import lookalike, records
+from leafwright.llm import lookalike, records, scans
 from leafwright.runtime import table
 
 
@@ -20,8 +20,16 @@ def p1_forms(spark, folder):
     return lookalike.normalize_texts(b.unionByName(t), "text").select("rec_key", "form")
 
 
+def p2_found(spark, folder):
+    return scans.noisy_records(table(spark, folder, "blocks"), table(spark, folder, "trees"))
+
+
+def p2_repaired(spark, folder):
+    return scans.repaired(table(spark, folder, "blocks"), table(spark, folder, "trees"))
+
+
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_forms)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_repaired)}
 
 
 def oracle_sql():
