@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leafwright.llm import lookalike, records, scans
+from leafwright.llm import lookalike, markup, records, scans
 from leafwright.runtime import table
 
 
@@ -28,8 +28,21 @@ def p2_repaired(spark, folder):
     return scans.repaired(table(spark, folder, "blocks"), table(spark, folder, "trees"))
 
 
+def p5_found(spark, folder):
+    return markup.markup_formats(records.text_records(table(spark, folder, "blocks"), table(spark, folder, "trees")))
+
+
+def p5_clean(spark, folder):
+    return markup.cleaned(records.text_records(table(spark, folder, "blocks"), table(spark, folder, "trees")))
+
+
+def p5_paths(spark, folder):
+    r = records.text_records(table(spark, folder, "blocks"), table(spark, folder, "trees"))
+    return markup.scored_paths(markup.path_ratios(markup.path_counts(markup.marked_up(r))))
+
+
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_repaired)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_repaired, p5_found, p5_clean, p5_paths)}
 
 
 def oracle_sql():
