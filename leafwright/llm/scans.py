@@ -39,9 +39,10 @@ MIN_LENGTH, TIMES = 5, 8
 #: Up to so many misread and cut words travel to the executors as a set; more are joined.
 SET_LIMIT = 300_000
 
-_NO_PROSE = re.compile(r"<\|txt_\w+\|>|<[^<>]{0,200}>|&#?\w+;|\S*[\\/@_]\S*")
-_WORD = re.compile(r"\w+(?:-\w+)*")
-_CUT = re.compile(r"([^\W\d_]+)(?:[-‐¬]|­)(?:[^\S\n]*\r?\n\s*|[^\S\n]+|\s*<\|txt_contd\|>\s*)([^\W\d_]+)")
+_NO_PROSE = re.compile(r"<\|txt_\w+\|>|<[^<>]{0,200}>|&#?\w+;|(?<!\S)[^\s\\/@_]*[\\/@_]\S*")
+_WORD = re.compile(r"\w+")
+_COMPOUND = re.compile(r"\w+(?:-\w+)+")
+_CUT_AT = re.compile(r"(?<=[^\W\d_])[-‐¬\u00ad](?:\s*<\|txt_contd\|>\s*|\s+)(?=([^\W\d_]+))")
 _LINE_END = re.compile(r"\r\n|[\n\r\v\f  ]|<\|txt_(?:split|contd)\|>")
 _HAS_LETTERS = re.compile(r"[^\W\d_][\W_]?[^\W\d_]")
 _SEQUENCE = r"(?P<n>\d{1,6})"
@@ -74,17 +75,34 @@ def line_shape(line: str) -> str:
     return shape(" ".join(tokens))
 
 
-def prose(text: str) -> str:
-    """The text without tags, addresses, paths, marks and cut words, whose parts are no words."""
-    if any(c in text for c in "<\\/@_&"):
-        text = _NO_PROSE.sub(" ", text)
-    return _CUT.sub(" ", text) if "-" in text or "\u00ad" in text or "‐" in text or "¬" in text else text
+def _cuts(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Start and end of each word that is cut by a mark and a break, and its two parts."""
+    if "-" in text or "\u00ad" in text or "‐" in text or "¬" in text:
+        for m in _CUT_AT.finditer(text):
+            start = m.start()
+            while start and text[start - 1].isalpha():
+                start -= 1
+            yield start, m.end(1), text[start : m.start()], m[1]
 
 
 def cut_words(text: str) -> Iterator[tuple[str, str]]:
-    if "-" in text or "­" in text or "‐" in text or "¬" in text:
-        for m in _CUT.finditer(text):
-            yield m[1], m[2]
+    return ((a, b) for _, _, a, b in _cuts(text))
+
+
+def _replace_cuts(text: str, by: Callable[[str, str, str], str]) -> str:
+    out, at = [], 0
+    for start, end, a, b in _cuts(text):
+        if start >= at:
+            out += text[at:start], by(a, b, text[start:end])
+            at = end
+    return "".join((*out, text[at:])) if at else text
+
+
+def prose(text: str) -> str:
+    """The text without tags, addresses, paths, marks and cut words, whose parts are no words."""
+    if "<" in text or "\\" in text or "/" in text or "@" in text or "_" in text or "&" in text:
+        text = _NO_PROSE.sub(" ", text)
+    return _replace_cuts(text, lambda a, b, both: " ")
 
 
 def could_be_misread(word: str) -> bool:
@@ -123,7 +141,10 @@ def _vocabulary_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for b in batches:
         for t in b.column("text").to_pylist():
             if t:
-                words.update(_WORD.findall(prose(t)))
+                t_prose = prose(t)
+                words.update(_WORD.findall(t_prose))
+                if "-" in t_prose:
+                    words.update(_COMPOUND.findall(t_prose))
                 cuts.update(cut_words(t))
         if len(words) > 200_000:
             yield flush()
@@ -131,7 +152,7 @@ def _vocabulary_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def vocabulary(records: DataFrame) -> DataFrame:
-    """kind, key, n over all texts: words (kind w, with parts of hyphenated words) and cut words (kind c, two parts)."""
+    """kind, key, n over all texts: words and hyphenated words (kind w) and cut words (kind c, two parts)."""
     out = records.select("text").mapInArrow(_vocabulary_rows, "kind string, key string, n long")
     return out.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
@@ -170,9 +191,10 @@ def cut_decisions(vocab: DataFrame) -> DataFrame:
 
 def page_number_in(text: str, pages: set[int]) -> bool:
     """Whether a line, or a marked number inside one, is the printed number of a page of the record."""
-    lines = _LINE_END.split(text)
+    if pages and not any(str(p) in text for p in pages):
+        return False
     before = ""
-    for line in lines:
+    for line in _LINE_END.split(text):
         if len(line) < 40 and any(c.isdigit() for c in line) and (m := PAGE_LINE.match(line)):
             n = int(next(x for x in m.groups() if x))
             strict = any(c.isalpha() for c in line) or line.strip()[0] in "-–—"
@@ -192,6 +214,8 @@ def header_in(text: str, head: str, pages: set[int]) -> tuple[bool, bool]:
     The header may be a line of its own, with a number before or after it, or stand inside a line.
     """
     found = number = False
+    if head not in shape(compare_form(text) or ""):
+        return False, False
     want = head.split(" ")
     for line in _LINE_END.split(text):
         if head not in shape(" ".join(tokens := _line_tokens(line))):
@@ -264,7 +288,7 @@ _MARKS = "rec_key string, noise string, key string, fix string"
 
 
 def _words(text: str) -> set[str]:
-    return {x for w in _WORD.findall(prose(text)) for x in (w.split("-") if "-" in w else (w,))}
+    return set(_WORD.findall(prose(text)))
 
 
 def noise_marks(records: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -275,20 +299,20 @@ def noise_marks(records: DataFrame, blocks: DataFrame) -> DataFrame:
     """
     spark = records.sparkSession
     vocab = written(vocabulary(records), "vocabulary")
-    parts = vocab.filter("kind = 'w'").select(F.explode(F.split("key", "-")).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n"))
-    glyphs = misread_words(parts).select(F.lit("glyph").alias("noise"), F.col("word").alias("key"), F.col("printed").alias("fix"))
+    words = vocab.filter("kind = 'w' and not contains(key, '-')").select(F.col("key").alias("word"), "n")
+    glyphs = misread_words(words).select(F.lit("glyph").alias("noise"), F.col("word").alias("key"), F.col("printed").alias("fix"))
     wrong = cut(glyphs.unionByName(cut_decisions(vocab).select(F.lit("hyphen").alias("noise"), F.col("pair").alias("key"), F.col("whole").alias("fix"))))
     if wrong.count() <= SET_LIMIT:
-        known = spark.sparkContext.broadcast({(r[0], r[1]): r[2] for r in wrong.collect()})
+        rows = wrong.collect()
+        known = spark.sparkContext.broadcast(tuple({r[1]: r[2] for r in rows if r[0] == noise} for noise in ("hyphen", "glyph")))
 
         def marks(text: str, pages: set[int]) -> Iterator[Mark]:
-            bad = known.value
+            cut_pairs, misread = known.value
             for pair in {f"{a} {b}" for a, b in cut_words(text)}:
-                if fix := bad.get(("hyphen", pair)):
+                if fix := cut_pairs.get(pair):
                     yield "hyphen", pair, fix
-            for w in _words(text):
-                if fix := bad.get(("glyph", w)):
-                    yield "glyph", w, fix
+            for w in _words(text) & misread.keys():
+                yield "glyph", w, misread[w]
             if page_number_in(text, pages):
                 yield "page_no", "", ""
 
@@ -348,10 +372,10 @@ def repair(text: str, fixes: dict[tuple[str, str], str], pages: set[int]) -> str
         gap = False
         lines.append(line)
     text = "\n".join(lines)
-    text = _CUT.sub(lambda m: fixes.get(("hyphen", f"{m[1]} {m[2]}")) or (f"{m[1]}-{m[2]}" if "\n" in m[0] else m[0]), text)
+    text = _replace_cuts(text, lambda a, b, both: fixes.get(("hyphen", f"{a} {b}")) or (f"{a}-{b}" if "\n" in both else both))
     words = {k: f for (n, k), f in fixes.items() if n == "glyph"}
     if words:
-        text = _WORD.sub(lambda m: "-".join(words.get(x, x) for x in m[0].split("-")), text)
+        text = _WORD.sub(lambda m: words.get(m[0], m[0]), text)
     return "\n\n".join(" ".join(p.split()) for p in _PARAGRAPH.split(text))
 
 
