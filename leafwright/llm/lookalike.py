@@ -118,15 +118,18 @@ def context_script(text: str) -> str:
     return max(SCRIPTS, key=lambda s: (n[s], -SCRIPTS.index(s)))
 
 
-def one_form(text: str | None) -> str | None:
-    """The consistent form of a text; line breaks stay. None stays None, equal-looking texts become equal."""
+def one_form(text: str | None, context: str | None = None) -> str | None:
+    """The consistent form of a text; line breaks stay. None stays None, equal-looking texts become equal.
+
+    context: the script for whole-script confusables, where it must not depend on the text around them.
+    """
     if text is None or (text.isascii() and text.isprintable()):
         return text
     text = text.translate(_FOLD)
     if _NEEDS_SCRIPTS.search(text):
         text = unicodedata.normalize("NFD", text)
-        context = context_script(text)
-        text = _TOKEN.sub(lambda m: respell(m[0], context), text)
+        to = context or context_script(text)
+        text = _TOKEN.sub(lambda m: respell(m[0], to), text)
     return unicodedata.normalize("NFC", text)
 
 

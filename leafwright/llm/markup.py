@@ -29,6 +29,8 @@ textarea tfoot th thead time title tr tt u ul var video
 """.split()
 _BREAKS = {"p", "br", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table", "pre", "blockquote", "hr", "section", "article"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "col"}
+#: Last elements of paths that only style running text; dropping them would lose words, so no ratio decides on them.
+INLINE = {"text", "emphasis", "quote", "entity", "emph", "textbf", "textit", "underline", "b", "i", "em", "strong", "u", "s", "span", "font", "small", "big", "sub", "sup", "mark", "abbr", "time", "q", "cite", "p", "itemize", "enumerate"}
 #: Kinds that keep their text whatever their path's ratio.
 STRUCTURE = ("heading", "item", "code", "cell", "link", "formula")
 _KIND_OF_TAG = {"li": "item", "pre": "code", "code": "code", "td": "cell", "th": "cell", "a": "link", "title": "heading"} | {f"h{i}": "heading" for i in range(1, 7)}
@@ -221,11 +223,11 @@ def formats(nodes: list[Node]) -> set[str]:
 
 def clean_text(nodes: list[Node], residue: set[str]) -> str:
     """The content nodes' text. Headings stand in a line of their own after "# ", items after "• ", code between
-    lines of ```; cells are parted by tabs, formulas stand in $ $. Paths in residue, and residue nodes, go."""
+    lines of ```; cells are parted by tabs, formulas stand in $ $. Paths in residue, and residue nodes, go; inline paths stay."""
     out: list[str] = []
     before = ""
     for n in nodes:
-        if n.kind == "residue" or (n.path in residue and n.kind not in (*STRUCTURE, "mark")):
+        if n.kind == "residue" or (n.path in residue and n.kind not in (*STRUCTURE, "mark") and n.path.rpartition("/")[2] not in INLINE):
             continue
         t = n.text
         if n.kind == "heading" and t.strip():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leafwright.llm import lookalike, markup, records, scans
+from leafwright.llm import leaks, lookalike, markup, records, scans
 from leafwright.runtime import table
 
 
@@ -41,8 +41,17 @@ def p5_paths(spark, folder):
     return markup.scored_paths(markup.path_ratios(markup.path_counts(markup.marked_up(r))))
 
 
+def p7_found(spark, folder):
+    found = leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return found.filter(F.col("run") >= leaks.MIN_WORDS).select("doc_id", "item_id")
+
+
+def p7_leaks(spark, folder):
+    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_repaired, p5_found, p5_clean, p5_paths)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_repaired, p5_found, p5_clean, p5_paths, p7_found, p7_leaks)}
 
 
 def oracle_sql():
