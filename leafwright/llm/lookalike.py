@@ -26,11 +26,11 @@ SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian")
 #: Letters that look alike, one class per entry, spelled in the order of SCRIPTS; "." where a script has none.
 LETTER_CLASSES = """
 aаα. cсϲ. dԁ.. eе.. g..ց hһ.հ iіι. jјϳ. lӏ.. n..ո oоοօ pрρ. qԛ.. sѕ.. u.υս vѵν. wԝ.. xх.. yуγ.
-AАΑ. BВΒ. CСϹ. EЕΕ. GԌ.. HНΗ. IІΙ. JЈͿ. KКΚ. LᏞ.Լ MМΜ. N.Ν. OОΟՕ PРΡ. QԚ.. SЅ.Տ TТΤ. U..Ս WԜ.. XХΧ. YҮΥ. Z.Ζ.
+AАΑ. BВΒ. CСϹ. EЕΕ. GԌ.. HНΗ. IІΙ. JЈͿ. KКΚ. LᏞ.Լ MМΜ. N.Ν. OОΟՕ PРΡ. QԚ.. SЅ.Տ TТΤ. U..Ս WԜ.. XХΧ. YУΥ. Z.Ζ.
 .ГΓ. .ПΠ. .ФΦ.
 """.split()
 #: Second spellings of a letter within one script.
-SAME_SCRIPT = {"ɑ": "a", "ɡ": "g", "У": "Ү", "Ӏ": "І"}
+SAME_SCRIPT = {"ɑ": "a", "ɡ": "g", "Ү": "У", "Ӏ": "І"}
 #: Blocks whose compatibility forms look like the plain ones (ligatures, digraphs, Roman numerals, radicals, dots).
 _COMPAT_LOOKS_SAME = ((0x132, 0x133), (0x1C4, 0x1CC), (0x1F1, 0x1F3), (0x2024, 0x2026), (0x2160, 0x217F), (0x2E80, 0x2FD5), (0xFB00, 0xFB17), (0xFE70, 0xFEFC))
 _KINDS_LOOK_SAME = ("<wide>", "<narrow>", "<noBreak>")
@@ -109,7 +109,12 @@ def respell(token: str, context: str) -> str:
         to = context if context in scripts else next(s for s in SCRIPTS if s in scripts)
     else:
         to = None
-    return "".join(ch if (spell := _CLASS_OF.get(ch)) is None else spell[to] if to in spell else next(iter(spell.values())) for ch in token)
+    out = []
+    for ch in token:
+        spell = _CLASS_OF.get(ch)
+        own = spell is None or (script(ch) == to and to != "Latin")
+        out.append(ch if own else spell[to] if to in spell else next(iter(spell.values())))
+    return "".join(out)
 
 
 def context_script(text: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leafwright.llm import leaks, lookalike, markup, records, scans
+from leafwright.llm import leaks, lookalike, markup, records, residue, scans
 from leafwright.runtime import table
 
 
@@ -50,8 +50,16 @@ def p7_leaks(spark, folder):
     return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
+def p8_found(spark, folder):
+    return residue.residues(table(spark, folder, "documents")).select("doc_id").distinct()
+
+
+def p8_templates(spark, folder):
+    return residue.template_verdicts(residue.mined_templates(table(spark, folder, "documents")))
+
+
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_repaired, p5_found, p5_clean, p5_paths, p7_found, p7_leaks)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_repaired, p5_found, p5_clean, p5_paths, p7_found, p7_leaks, p8_found, p8_templates)}
 
 
 def oracle_sql():
