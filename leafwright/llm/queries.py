@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leafwright.llm import leaks, lookalike, markup, records, residue, scans
+from leafwright.llm import leaks, lookalike, markup, packing, pieces, records, residue, scans
 from leafwright.runtime import table
 
 
@@ -28,6 +28,18 @@ def p2_repaired(spark, folder):
     return scans.repaired(table(spark, folder, "blocks"), table(spark, folder, "trees"))
 
 
+def p4_found(spark, folder):
+    return pieces.oversized(table(spark, folder, "sub_com_trees"), table(spark, folder, "size_limits"))
+
+
+def p4_pieces(spark, folder):
+    return pieces.node_pieces(table(spark, folder, "sub_com_trees"), table(spark, folder, "size_limits"))
+
+
+def p6_containers(spark, folder):
+    return packing.packed_documents(table(spark, folder, "documents"), table(spark, folder, "size_limits"))
+
+
 def p5_found(spark, folder):
     return markup.markup_formats(records.text_records(table(spark, folder, "blocks"), table(spark, folder, "trees")))
 
@@ -59,8 +71,15 @@ def p8_templates(spark, folder):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_repaired, p5_found, p5_clean, p5_paths, p7_found, p7_leaks, p8_found, p8_templates)}
+    found = (p1_found, p2_found, p4_found, p5_found, p7_found, p8_found)
+    more = (p1_forms, p2_repaired, p4_pieces, p5_clean, p5_paths, p6_containers, p7_leaks, p8_templates)
+    return {f.__name__: f for f in found + more}
 
 
 def oracle_sql():
-    return {}
+    return {
+        "p4_found": """
+            SELECT DISTINCT node_key FROM sub_com_trees JOIN size_limits USING (node_type)
+            WHERE table_name = 'sub_com_trees' AND size_unit = 'characters'
+              AND length(replace(replace(content, '<|txt_split|>', ''), '<|txt_contd|>', '')) > max_size""",
+    }
