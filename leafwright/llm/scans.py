@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leafwright.llm.lookalike import compare_form
+from leafwright.llm.lookalike import one_form
 from leafwright.llm.records import TEXT_BLOCKS, TEXT_NODES, block_key, node_key
 from leafwright.operators.nested import tree_nodes
 from leafwright.runtime import cut, hot_keys, salted_join, written
@@ -40,8 +41,8 @@ MIN_LENGTH, TIMES = 5, 8
 SET_LIMIT = 300_000
 
 _NO_PROSE = re.compile(r"<\|txt_\w+\|>|<[^<>]{0,200}>|&#?\w+;|(?<!\S)[^\s\\/@_]*[\\/@_]\S*")
-_WORD = re.compile(r"\w+")
-_COMPOUND = re.compile(r"\w+(?:-\w+)+")
+_WORD = re.compile(r"[0-9A-Za-z\u00aa-\u058f\u1e00-\u1fff]+")
+_COMPOUND = re.compile(r"[0-9A-Za-z\u00aa-\u058f\u1e00-\u1fff]+(?:-[0-9A-Za-z\u00aa-\u058f\u1e00-\u1fff]+)+")
 _CUT_AT = re.compile(r"(?<=[^\W\d_])[-‐¬\u00ad](?:\s*<\|txt_contd\|>\s*|\s+)(?=([^\W\d_]+))")
 _LINE_END = re.compile(r"\r\n|[\n\r\v\f  ]|<\|txt_(?:split|contd)\|>")
 _HAS_LETTERS = re.compile(r"[^\W\d_][\W_]?[^\W\d_]")
@@ -61,8 +62,13 @@ def shape(text: str) -> str:
     return text.casefold().translate(SHAPES)
 
 
+@lru_cache(maxsize=1 << 18)
+def token_shape(token: str) -> str:
+    return shape(one_form(token, "Latin") or "")
+
+
 def _line_tokens(line: str) -> list[str]:
-    return (compare_form(line) or "").split()
+    return [t for t in line.split() if token_shape(t)]
 
 
 def line_shape(line: str) -> str:
@@ -72,7 +78,7 @@ def line_shape(line: str) -> str:
         tokens.pop(0)
     while tokens and _END_TOKEN.match(tokens[-1]):
         tokens.pop()
-    return shape(" ".join(tokens))
+    return " ".join(map(token_shape, tokens))
 
 
 def _cuts(text: str) -> Iterator[tuple[int, int, str, str]]:
@@ -131,9 +137,8 @@ def _vocabulary_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     cuts: Counter = Counter()
 
     def flush() -> pa.RecordBatch:
-        keys = [*words, *(f"{a} {b}" for a, b in cuts)]
-        kinds = ["w"] * len(words) + ["c"] * len(cuts)
-        out = pa.RecordBatch.from_pydict({"kind": kinds, "key": keys, "n": pa.array([*words.values(), *cuts.values()], pa.int64())})
+        rows = [("w", w, n) for w, n in words.items() if not w.isdigit()] + [("c", f"{a} {b}", n) for (a, b), n in cuts.items()]
+        out = pa.RecordBatch.from_pydict({"kind": pa.array([r[0] for r in rows], pa.string()), "key": pa.array([r[1] for r in rows], pa.string()), "n": pa.array([r[2] for r in rows], pa.int64())})
         words.clear()
         cuts.clear()
         return out
@@ -214,16 +219,20 @@ def header_in(text: str, head: str, pages: set[int]) -> tuple[bool, bool]:
     The header may be a line of its own, with a number before or after it, or stand inside a line.
     """
     found = number = False
-    if head not in shape(compare_form(text) or ""):
-        return False, False
     want = head.split(" ")
+    han = bool(_HAN.search(head))
+    if "<|txt_" in text:
+        text = text.replace("<|txt_split|>", "\n").replace("<|txt_contd|>", "\n")
+    if not han and not {*want} <= {*map(token_shape, text.split())}:
+        return False, False
     for line in _LINE_END.split(text):
-        if head not in shape(" ".join(tokens := _line_tokens(line))):
+        tokens = _line_tokens(line)
+        shapes = [token_shape(t) for t in tokens]
+        if head not in " ".join(shapes):
             continue
-        shapes = [shape(t) for t in tokens]
         at = next((i for i in range(len(shapes) - len(want) + 1) if shapes[i : i + len(want)] == want), -1)
         if at < 0:
-            found = found or bool(_HAN.search(head))
+            found = found or han
             continue
         left, right = tokens[:at], tokens[at + len(want) :]
         alone = all(map(_END_TOKEN.match, left + right))
