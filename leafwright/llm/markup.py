@@ -63,7 +63,7 @@ _GRAMMAR = re.compile(
   | (?P<wiki_quote>(?<![\d'])(?P<q>'{{2,3}})(?=[^\s'])(?P<wq>(?:(?!'')[^\n])+?)(?<=\S)(?P=q)(?!'))
   | (?P<wiki_magic>(?<!\w)__[A-Z]+__(?!\w))
   | (?P<md_heading>^[ ]{{0,3}}(?P<hash>\#{{1,6}})[ \t]+(?P<mh>\S[^\n]*)$)
-  | (?P<md_setext>^(?P<ms>[^\n]*\w[^\n]*)\r?\n(?:={{3,}}|-{{3,}})[ \t]*\r?$)
+  | (?P<md_setext>^(?P<ms>(?=[^\n]*?\w)[^\n]++)\n(?:={{3,}}|-{{3,}})[ \t]*\r?$)
   | (?P<md_table>(?:^\|[^\n]*\|[ \t]*\r?\n)^\|[ :|-]*-[ :|-]*\|[ \t]*\r?(?:\n\|[^\n]*\|[ \t]*\r?$)*)
   | (?P<md_image>!\[(?P<alt>[^\[\]\n]*)\]\([^()\s]+(?:[ ]"[^"\n]*")?\))
   | (?P<md_link>(?<!!)\[(?P<lt>[^\[\]\n]+)\]\((?P<lu>[^()\s]+)(?:[ ]"[^"\n]*")?\))
@@ -77,7 +77,8 @@ _GRAMMAR = re.compile(
     re.VERBOSE | re.MULTILINE | re.DOTALL | re.IGNORECASE,
 )
 #: Where the grammar can start; it is tried there only.
-_START = re.compile(r"[<&\\$*_`{\[~]|!\[|''|^[ \t]*[#>=|+*-]|^(?=[^\n]*\w[^\n]*\r?\n(?:={3,}|-{3,})[ \t]*\r?$)", re.MULTILINE)
+_START = re.compile(r"[<&\\$*_`{\[~]|!\[|''|^[ \t]*+[#>=|+*-]", re.MULTILINE)
+_START_UNDERLINED = re.compile(_START.pattern + r"|^(?=[^\n]++\n(?:={3,}|-{3,})[ \t]*\r?$)", re.MULTILINE)
 _PUNCT = re.compile(r"[.,;:!?。，；：！？]")
 
 
@@ -107,11 +108,12 @@ class _Reader:
     def read(self, text: str, path: str, kind: str) -> None:
         at = look = 0
         tags: list[str] = []
+        find = (_START_UNDERLINED if "\n==" in text or "\n--" in text else _START).search
 
         def place() -> tuple[str, str]:
             return "/".join([path, "html", *tags]) if tags else path, next((_KIND_OF_TAG[t] for t in reversed(tags) if t in _KIND_OF_TAG), kind)
 
-        while start := _START.search(text, look):
+        while start := find(text, look):
             m = _GRAMMAR.match(text, start.start())
             which = m and next(k for k, v in m.groupdict().items() if v is not None and k in _RULES)
             here, now = place()
