@@ -45,6 +45,7 @@ for _ch, _as in SAME_SCRIPT.items():
 
 _TOKEN = re.compile(r"[A-Za-zª-ɏɐ-ʯ̀-ԯԱ-ևḀ-῿]+")
 _NEEDS_SCRIPTS = re.compile(r"[ɐ-ʯͰ-ևᎠ-᏿ἀ-῿]")
+_ASCII_CONTROLS = re.compile(r"[\x00-\x09\x0b\x0c\x0e-\x1f\x7f]")
 _ROMAN = re.compile(r"[IVX]+\Z")
 
 
@@ -128,8 +129,10 @@ def one_form(text: str | None, context: str | None = None) -> str | None:
 
     context: the script for whole-script confusables, where it must not depend on the text around them.
     """
-    if text is None or (text.isascii() and text.isprintable()):
+    if text is None:
         return text
+    if text.isascii():
+        return text if text.isprintable() or not _ASCII_CONTROLS.search(text) else text.translate(_FOLD)
     text = text.translate(_FOLD)
     if _NEEDS_SCRIPTS.search(text):
         text = unicodedata.normalize("NFD", text)

@@ -1,7 +1,7 @@
 """Problem 8: template residue, filler, error pages and script notices instead of content.
 
-Message templates are mined from short lines with a prefix tree of fixed depth: line length, first and second
-token, then templates of that leaf, joined by similarity with a wildcard where they differ. Tasks mine their own
+Message templates are mined from short lines with a prefix tree of fixed depth: line length, first tokens one
+by one, then templates of that leaf, joined by similarity with a wildcard where they differ. Tasks mine their own
 lines, equal templates are combined, each template is classified once, and the verdicts go back to all lines.
 Apart from that, ordinary records are searched for unresolved slots and for filler words. A document is residue if
 it has a slot or filler where content should be, or if nothing but messages and page furniture is left of it.
@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafwright.llm.lookalike import compare_form
+from leafwright.llm.lookalike import one_form
 from leafwright.runtime import cut
 
 #: A message is a line of at most so many tokens.
 MESSAGE_TOKENS = 20
+#: The tree's levels below the line's length: so many first tokens.
+DEPTH = 4
 #: Templates of one leaf are joined if so many of their tokens are equal.
 SIMILARITY = 0.7
 #: Message templates up to this number travel to the executors; beyond it each task classifies its own templates.
@@ -30,7 +32,7 @@ _FLUSH = 100_000
 
 #: How error messages read, by language.
 ERRORS = re.compile(
-    r"""(?ix)
+    r"""(?x)
     \b(?:error|erreur|fehler|ошибка|错误)\s*:?\s*(?:\#|<\*>|[45]\d\d) | \b(?:http|status)\s*:?\s*(?:\#|<\*>)\s | ^(?:\#|<\*>)\s*:?\s*(?:not\s+found|forbidden|unauthorized|bad\s+(?:gateway|request)|gone|页面不存在|nicht\s+gefunden|introuvable|no\s+encontrad|не\s+найден)
   | \bpage\s+(?:not\s+found|moved\s+or\s+deleted|introuvable|cannot\s+be\s+(?:found|displayed)) | \bpage\s+(?:is\s+)?no\s+longer\s+available | p[áa]gina\s+no\s+(?:encontrada|existe|disponible) | seite\s+(?:wurde\s+)?nicht\s+gefunden | страница\s+не\s+найдена | 页面不存在 | 未找到(?:页面|该页) | 找不到(?:页面|该页)
   | internal\s+server\s+error | interner\s+serverfehler | erreur\s+interne\s+du\s+serveur | error\s+interno\s+del\s+servidor | внутренняя\s+ошибка\s+сервера | 服务器(?:内部)?错误
@@ -43,7 +45,7 @@ ERRORS = re.compile(
 )
 #: How notices that scripts or cookies are needed read.
 SCRIPTS = re.compile(
-    r"""(?ix)
+    r"""(?x)
     (?:enable|activate|turn\s+on|switch\s+on|allow|requires?|needs?|without)\s+(?:java\s?script|js|scripts?|scripting|cookies)\b | (?:java\s?script|scripting|scripts?|cookies)\s+(?:is|are|must\s+be|has\s+been)\s+(?:disabled|switched\s+off|turned\s+off|blocked|required|needed|enabled) | scripts?\s+(?:allowed|execution\s+is\s+blocked) | (?:not|n't)\s+support\s+(?:scripting|java\s?script) | ^noscript\b
   | javascript,?\s+um\s+ | (?:aktivieren\s+sie|benötigt|erfordert)\s+(?:\w+\s+)?(?:java\s?script|skripte) | skripte\s+(?:sind|müssen|zulassen)
   | activer\s+(?:le\s+)?java\s?script | scripts\s+sont\s+(?:désactivés|bloqués) | active\s+(?:el\s+)?java\s?script | habilit[ea]r?\s+java\s?script | necesita\s+(?:java\s?)?scripts? | включите\s+(?:java\s?script|скрипты) | скрипты\s+(?:отключены|заблокированы) | (?:启用|开启|打开|需要)\s*(?:java\s?script|脚本) | 脚本(?:已)?(?:禁用|被阻止)
@@ -51,7 +53,7 @@ SCRIPTS = re.compile(
 )
 #: Filler in place of a text or heading.
 FILLERS = re.compile(
-    r"""(?ix)
+    r"""(?x)
     ^(?:x{3,}[\s.]*){2,}$ | ^(?:asdf[\s.]*){2,}$ | ^(?:tbd[\s.,]*){2,}$ | ^(?:todo[\s.,]*){2,}$ | ^(?:bla[\s.,]*){3,}$ | ^(?:foo\s+bar[\s.]*)+$ | ^(?:test[\s.,]*){3,}$
   | ^(?:your\s+)?text\s+goes\s+here | ^replace\s+this\s+(?:paragraph|text|section) | ^(?:insert|enter|type|add)\s+(?:your\s+)?(?:text|title|content|heading)\s+here | ^describe\s+the\s+\S+\s+in\s+(?:two|three|a\s+few|\d|\#)\s+sentences | ^(?:sample|example|dummy)\s+(?:heading|title|text)\.?$ | ^placeholder(?:\s+text)?\.?$ | ^(?:heading|title)\s+goes\s+here
   | ^hier\s+(?:steht|kommt)\s+ihr\s+text | ^beispiel(?:überschrift|titel|text)\.?$ | ^(?:blindtext|platzhalter(?:text)?)\.?$ | ^titre\s+d['’]exemple | ^saisissez\s+votre\s+texte | ^votre\s+texte\s+ici | ^texte\s+d['’]exemple | ^título\s+de\s+ejemplo | ^escriba\s+aquí | ^texto\s+de\s+(?:ejemplo|relleno) | ^введите\s+(?:здесь\s+)?(?:ваш\s+)?текст | ^(?:пример|образец)\s+(?:заголовка|текста)\.?$ | ^请在此处?输入 | ^示例(?:标题|文本|正文) | ^此处(?:填写|输入)
@@ -59,7 +61,7 @@ FILLERS = re.compile(
 )
 #: Furniture of a viewer's page, which is no content.
 FURNITURE = re.compile(
-    r"""(?ix)
+    r"""(?x)
     ^(?:menu|menü|menú|home|viewer(?:\s+\#)?|help|terms|contact|documents|sign\s+in|log\s?in|back(?:\s+to\s+\w+)?|next|search|close|print|share|cookies?|privacy|imprint|impressum|retry|reload|ref\.?\s*:?\s*\S+|(?:\w+\s*[|·»>]\s*)+\w+|(?:see\s+)?(?:page|seite|página|стр\.)\s+\#|-+|\#)\.?$
     """
 )
@@ -69,8 +71,8 @@ DUMMY_WORDS = frozenset(
 )
 _NAME = r"[^\W\d]\w*(?:[.\-]\w+)*"
 #: Slots that nothing else looks like, and slots whose name must look like one.
-STRONG_SLOT = re.compile(rf"\{{\{{\s*{_NAME}\s*\}}\}}|\$\{{\s*{_NAME}\s*\}}|\[(?:INSERT|insert|Insert)\s+[^\[\]\n]{{1,40}}\]|<<\s*{_NAME}\s*>>|%%{_NAME}%%|@@{_NAME}@@|%\({_NAME}\)s|<%=?\s*{_NAME}\s*%>|__{_NAME}__")
-WEAK_SLOT = re.compile(rf"(?<![\w\[{{<])(?:\[(?P<a>{_NAME})\]|\{{(?P<b>{_NAME})\}}|<(?P<c>{_NAME})>|\#(?P<d>{_NAME})\#)(?![\w(\]}}>])")
+STRONG_SLOT = re.compile(rf"(?=[{{$\[<%@_])(?:\{{\{{\s*{_NAME}\s*\}}\}}|\$\{{\s*{_NAME}\s*\}}|\[(?:INSERT|insert|Insert)\s+[^\[\]\n]{{1,40}}\]|<<\s*{_NAME}\s*>>|%%{_NAME}%%|@@{_NAME}@@|%\({_NAME}\)s|<%=?\s*{_NAME}\s*%>|__{_NAME}__)")
+WEAK_SLOT = re.compile(rf"(?=[\[{{<#])(?<![\w\[{{<])(?:\[(?P<a>{_NAME})\]|\{{(?P<b>{_NAME})\}}|<(?P<c>{_NAME})>|\#(?P<d>{_NAME})\#)(?![\w(\]}}>])")
 #: Names of slots, as they are without an underscore, a dot or capitals.
 SLOT_NAMES = frozenset(
     "date name title author department recipient client customer company address city country phone email signature amount number subject reference version project datum name titel autor abteilung empfaenger empfänger kunde firma adresse ort betreff betrag nom titre auteur service destinataire client société adresse ville objet montant fecha nombre titulo título autor departamento destinatario cliente empresa direccion dirección ciudad asunto importe дата имя название автор отдел получатель клиент компания адрес 日期 姓名 标题 作者 部门 收件人 客户 公司 地址".split()
@@ -82,13 +84,18 @@ _LINES = re.compile(r"\r\n|[\n\r\v\f  ]")
 _DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
 
 
-def tokens_of(line: str) -> list[str]:
-    """Tokens of a line in lower case with numbers masked; look-alike characters are made plain first."""
-    return _DIGITS.sub("#", (compare_form(line) or "").lower()).split()
+def masked_lines(text: str) -> list[str]:
+    """Lines in lower case with plain characters and numbers masked; blank ones are left out."""
+    plain = (one_form(text) or "").lower()
+    return [line for line in _LINES.split(_DIGITS.sub("#", plain)) if line and not line.isspace()]
+
+
+def is_short(line: str) -> bool:
+    return len(line) <= 200 and line.count(" ") < MESSAGE_TOKENS
 
 
 class PrefixTree:
-    """length -> first token -> second token -> templates. Tokens that are numbers are masked before."""
+    """length -> first token -> .. -> token DEPTH -> templates. Numbers are masked before."""
 
     def __init__(self, similarity: float = SIMILARITY) -> None:
         self.leaves: dict[tuple, list[tuple[str, ...]]] = {}
@@ -97,7 +104,7 @@ class PrefixTree:
 
     @staticmethod
     def leaf(tokens: list[str] | tuple[str, ...]) -> tuple:
-        return len(tokens), *tokens[:2]
+        return len(tokens), *tokens[:DEPTH]
 
     def match(self, tokens: list[str]) -> tuple[str, ...] | None:
         """The most similar template of the tokens' leaf, if it is similar enough."""
@@ -111,7 +118,7 @@ class PrefixTree:
     def add(self, tokens: list[str], n: int = 1) -> None:
         """Only tokens with a digit may become wildcards, so that no telling word is lost."""
         key = self.leaf(tokens)
-        mine = tuple("<*>" if i > 1 and "#" in t else t for i, t in enumerate(tokens))
+        mine = tuple("<*>" if i >= DEPTH and "#" in t else t for i, t in enumerate(tokens))
         leaf = self.leaves.setdefault(key, [])
         for i, t in enumerate(leaf):
             same = sum(a == b for a, b in zip(t, mine, strict=True))
@@ -139,28 +146,17 @@ def classify(template: str) -> str | None:
     return "furniture" if FURNITURE.search(template) else None
 
 
-def short_lines(text: str) -> Iterator[str]:
-    for line in _LINES.split(text):
-        if 0 < len(line) <= 200 and line.count(" ") < MESSAGE_TOKENS and not line.isspace():
-            yield line
-
-
-def _may_be_message(text: str) -> bool:
-    """Messages are lines; a text with lines all too long to be one has none."""
-    return any(True for _ in short_lines(text))
-
-
 def mined_templates(documents: DataFrame) -> DataFrame:
     """template, n: templates of all short lines, mined by each task and combined."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = PrefixTree()
-        exact: Counter = Counter()
+        exact: Counter[str] = Counter()
 
         def flush() -> pa.RecordBatch:
             nonlocal tree
-            for tokens, n in exact.items():
-                tree.add(list(tokens), n)
+            for line, n in exact.items():
+                tree.add(line.split(), n)
             rows = [(" ".join(t), n) for t, n in tree.counts.items() if t]
             tree = PrefixTree()
             exact.clear()
@@ -169,7 +165,7 @@ def mined_templates(documents: DataFrame) -> DataFrame:
         for b in batches:
             for text in b.column("text").to_pylist():
                 if text:
-                    exact.update(tuple(tokens_of(line)) for line in short_lines(text))
+                    exact.update(line for line in masked_lines(text) if is_short(line))
             if len(exact) > _FLUSH:
                 yield flush()
         yield flush()
@@ -202,18 +198,18 @@ class Verdicts:
         self.seen: dict[str, str | None] = {}
 
     def of(self, line: str) -> str | None:
-        if line in self.seen:
-            return self.seen[line]
-        tokens = tokens_of(line)
-        if self.own:
-            v = classify(" ".join(tokens))
-        else:
-            t = self.tree.match(tokens) if tokens else None
-            v = self.by[t] if t else None
-        if len(self.seen) > _FLUSH:
-            self.seen.clear()
-        self.seen[line] = v
-        return v
+        """line: a masked line."""
+        tokens = line.split()
+        if not self.own:
+            if PrefixTree.leaf(tokens) not in self.tree.leaves:
+                return None
+            t = self.tree.match(tokens)
+            return self.by[t] if t else None
+        if line not in self.seen:
+            if len(self.seen) > _FLUSH:
+                self.seen.clear()
+            self.seen[line] = classify(" ".join(tokens))
+        return self.seen[line]
 
 
 def has_slot(text: str) -> bool:
@@ -247,14 +243,17 @@ def has_dummy_text(text: str) -> bool:
 
 def is_residue(text: str, verdicts: Verdicts) -> str | None:
     """slot, filler or message (error page or notice), or None."""
-    lines = [line for line in _LINES.split(text) if line.strip()]
-    kinds: list[str | None] = []
-    for line in lines:
-        v = verdicts.of(line) if len(line) <= 200 and line.count(" ") < MESSAGE_TOKENS else None
-        if v == "filler":
-            return "filler"
-        kinds.append(v)
-    if lines and all(kinds) and any(k in ("error", "script") for k in kinds):
+    message = True
+    kinds: set[str] = set()
+    for line in masked_lines(text):
+        v = verdicts.of(line) if is_short(line) else None
+        if v is None:
+            message = False
+        else:
+            kinds.add(v)
+    if "filler" in kinds:
+        return "filler"
+    if message and ("error" in kinds or "script" in kinds):
         return "message"
     if has_slot(text):
         return "slot"
