@@ -103,3 +103,71 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", s
 
 def path_exists(path: str) -> bool:
     return os.path.exists(path)
+
+
+#: Rows of one key are cut into runs of so many positions for the two-level window functions below.
+RUN_LENGTH = 4096
+
+
+def fill(df: DataFrame, key: str, order: str, columns: dict[str, object], forward: bool, own_row: bool = False, run_length: int = RUN_LENGTH) -> DataFrame:
+    """Adds columns with the nearest non-null value at an earlier (forward) or later row of the same key.
+
+    columns: new name to Column. order must be a whole number. The rows of a key are cut into runs of positions;
+    a window works within a run, a second one over one row per run, so no task gets all rows of a large key.
+    own_row: whether the row itself counts.
+    """
+    from pyspark.sql import Window
+
+    run = F.floor(F.col(order) / run_length)
+    src = df.withColumns({f"__v_{n}": c for n, c in columns.items()} | {"__run": run})
+    first, last = (F.first, F.last)
+    inside = Window.partitionBy(key, "__run").orderBy(order)
+    if forward:
+        inside = inside.rowsBetween(Window.unboundedPreceding, 0 if own_row else -1)
+    else:
+        inside = inside.rowsBetween(0 if own_row else 1, Window.unboundedFollowing)
+    nearest = last if forward else first
+    near = src.withColumns({f"__n_{n}": nearest(f"__v_{n}", ignorenulls=True).over(inside) for n in columns})
+    pick = F.max_by if forward else F.min_by
+    runs = src.groupBy(key, "__run").agg(*[pick(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), F.col(order))).alias(f"__r_{n}") for n in columns])
+    over = Window.partitionBy(key).orderBy("__run").rowsBetween(*((Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)))
+    far = runs.select(key, "__run", *[nearest(f"__r_{n}", ignorenulls=True).over(over).alias(f"__f_{n}") for n in columns])
+    out = near.join(far, [key, "__run"], "left")
+    return out.withColumns({n: F.coalesce(f"__n_{n}", f"__f_{n}") for n in columns}).drop("__run", *[f"__{p}_{n}" for n in columns for p in ("v", "n", "f")])
+
+
+def fold_sorted(df: DataFrame, keys: list[str], order: list[str], start, step, columns: list[str], schema: str) -> DataFrame:
+    """A fold over the rows of each key in order, streamed: rows are never gathered per key.
+
+    start() gives a key's state; step(state, row) changes it and yields output tuples; row is a dict of `columns`.
+    A step that is given None ends the key.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    out_type = _parse_datatype_string(schema)
+    ordered = df.select(*dict.fromkeys([*keys, *order, *columns])).repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def run(batches):
+        out_schema = to_arrow_schema(out_type)
+        key, state, seen = None, None, False
+
+        def record(rows):
+            cols = list(zip(*rows, strict=True)) if rows else [()] * len(out_schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, out_schema, strict=True)], schema=out_schema)
+
+        for b in batches:
+            rows = []
+            for r in b.to_pylist():
+                k = tuple(r[c] for c in keys)
+                if not seen or k != key:
+                    if seen:
+                        rows += step(state, None) or ()
+                    key, state, seen = k, start(), True
+                rows += step(state, r) or ()
+            yield record(rows)
+        if seen:
+            yield record(list(step(state, None) or ()))
+
+    return ordered.mapInArrow(run, schema)
