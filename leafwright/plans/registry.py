@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafwright.plans import nested_queries
+from leafwright.plans import block_queries, block_sql, nested_queries
 
 
 def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**nested_queries.queries()}
+    return {**block_queries.queries(), **nested_queries.queries()}
 
 
 def core_sql() -> dict[str, str]:
-    return {**nested_queries.oracle_sql()}
+    return {**block_sql.oracle_sql(), **nested_queries.oracle_sql()}
