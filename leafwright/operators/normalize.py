@@ -11,7 +11,6 @@ from leafwright.functions import text as X
 
 #: Sub-types that the later stages take.
 ALLOWED = ("title", "text", "list_item", "equation", "image", "table", "image_caption", "table_caption", "image_footnote", "table_footnote", "header", "footer", "page_number", "page_footnote", "aside_text", "page_title")
-_LAST = F.lit(2147483647)
 
 
 def content_pick(*candidates: Column) -> Column:
@@ -31,7 +30,7 @@ def numbered(blocks: DataFrame, order: str = "block_order") -> DataFrame:
     The number is the count of blocks on earlier pages plus the place on the page, so no task sorts a document.
     """
     box = B.four(F.col("bbox"))
-    on_page = Window.partitionBy("doc_id", "page").orderBy(F.coalesce(F.col(order).try_cast("int"), _LAST), box[1], box[0], "block_key")
+    on_page = Window.partitionBy("doc_id", "page").orderBy(F.coalesce(F.col(order).try_cast("int"), F.lit(2147483647)), box[1], box[0], "block_key")
     pages = blocks.groupBy("doc_id", "page").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     start = pages.select("doc_id", "page", before.alias("before"))
