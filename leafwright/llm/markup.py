@@ -209,7 +209,7 @@ def read_nodes(text: str) -> list[Node]:
     for i, part in enumerate(_SEGMENT.split(text)):
         if i:
             reader.put("text", "\n\n", "mark")
-        if _RAW_FORMULA.search(part) and not _PROSE_WORD.search(part):
+        if _RAW_FORMULA.search(part) and not _PROSE_WORD.search(part) and "$" not in part and "\n" not in part.strip():
             reader.put("text/latex/raw", part.strip().strip("$"), "formula")
         else:
             reader.read(part, "text", "text")
@@ -242,6 +242,8 @@ def clean_text(nodes: list[Node], residue: set[str]) -> str:
             t = f"${t}$"
         elif before in ("heading", "cell") and n.kind == "text" and t.strip():
             t = "\n" + t.lstrip()
+        if t == "\n• " and (not out or out[-1].endswith("\n")):
+            t = "• "
         out.append(t)
         if t.strip():
             before = n.kind
