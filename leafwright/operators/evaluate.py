@@ -36,20 +36,20 @@ def box_score(a: Column, b: Column) -> Column:
 
 
 def alignment(truth: DataFrame, blocks: DataFrame, least: float = 0.35) -> DataFrame:
-    """doc_id, gt_id, block_id, score, box, text of pairs on one page whose score is at least `least`.
+    """doc_id, page, gt_id, block_id, score, box, text of pairs on one page whose score is at least `least`.
 
     score: 0.45 box + 0.35 text + 0.20 type, the type being 1 for titles and 0.4 for others.
     """
     t = truth.select("doc_id", "page", "gt_id", F.col("bbox").alias("tb"), S.compact(F.col("content")).alias("tt"))
     m = blocks.select("doc_id", "page", "block_id", F.col("bbox").alias("mb"), S.compact(F.col("content")).alias("mt"), F.when(F.col("type") == "title", 1.0).otherwise(0.4).alias("kind"))
     p = t.join(m, ["doc_id", "page"]).withColumns({"box": box_score(F.col("tb"), F.col("mb")), "text": S.text_similarity("tt", "mt")})
-    return p.withColumn("score", 0.45 * F.col("box") + 0.35 * F.col("text") + 0.20 * F.col("kind")).filter(F.col("score") >= least).select("doc_id", "gt_id", "block_id", "score", "box", "text")
+    return p.withColumn("score", 0.45 * F.col("box") + 0.35 * F.col("text") + 0.20 * F.col("kind")).filter(F.col("score") >= least).select("doc_id", "page", "gt_id", "block_id", "score", "box", "text")
 
 
 def matched(pairs: DataFrame) -> DataFrame:
     """doc_id, gt_id, block_id, score: one to one, best scores first, ties by greater ids; pairs weak in text and box are none.
 
-    A document's candidate pairs are matched in one task; they are titles of one page each, not all its blocks.
+    Pairs share a page, so every page is matched by itself; no task gets a whole document.
     """
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -62,7 +62,7 @@ def matched(pairs: DataFrame) -> DataFrame:
             keep.append((r.doc_id, r.gt_id, r.block_id, round(r.score, 4)))
         return pd.DataFrame(keep, columns=["doc_id", "gt_id", "block_id", "score"])
 
-    return pairs.groupBy("doc_id").applyInPandas(one, "doc_id long, gt_id string, block_id string, score double")
+    return pairs.groupBy("doc_id", "page").applyInPandas(one, "doc_id long, gt_id string, block_id string, score double")
 
 
 def predicted_titles(matches: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -192,5 +192,5 @@ def test_tree_distance(a, b):
 
 
 def test_matching_is_one_to_one(spark):
-    p = spark.createDataFrame([(1, "g1", "m1", 0.9, 1.0, 1.0), (1, "g1", "m2", 0.8, 1.0, 1.0), (1, "g2", "m1", 0.7, 1.0, 1.0), (1, "g2", "m2", 0.6, 0.1, 0.1), (1, "g3", "m2", 0.5, 0.9, 0.1)], "doc_id long, gt_id string, block_id string, score double, box double, text double")
+    p = spark.createDataFrame([(1, 1, "g1", "m1", 0.9, 1.0, 1.0), (1, 1, "g1", "m2", 0.8, 1.0, 1.0), (1, 1, "g2", "m1", 0.7, 1.0, 1.0), (1, 1, "g2", "m2", 0.6, 0.1, 0.1), (1, 1, "g3", "m2", 0.5, 0.9, 0.1)], "doc_id long, page int, gt_id string, block_id string, score double, box double, text double")
     assert sorted((r.gt_id, r.block_id) for r in V.matched(p).collect()) == [("g1", "m1"), ("g3", "m2")]
