@@ -45,6 +45,8 @@ for _ch, _as in SAME_SCRIPT.items():
 
 _TOKEN = re.compile(r"[A-Za-zª-ɏɐ-ʯ̀-ԯԱ-ևḀ-῿]+")
 _NEEDS_SCRIPTS = re.compile(r"[ɐ-ʯͰ-ևᎠ-᏿ἀ-῿]")
+#: Characters that no step changes: composed Latin letters, printable ASCII, line ends, Han and its comma and stop.
+_UNCHANGED = re.compile(r"[\n\r\x20-\x7e\u00a1-\u00a7\u00a9-\u00ac\u00ae\u00b0-\u00b3\u00b6\u00b7\u00b9\u00bb-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e\u2013\u2014\u2018\u2019\u201c\u201d\u3001\u3002\u4e00-\u9fff]*\Z")
 _ASCII_CONTROLS = re.compile(r"[\x00-\x09\x0b\x0c\x0e-\x1f\x7f]")
 _ROMAN = re.compile(r"[IVX]+\Z")
 
@@ -133,6 +135,8 @@ def one_form(text: str | None, context: str | None = None) -> str | None:
         return text
     if text.isascii():
         return text if text.isprintable() or not _ASCII_CONTROLS.search(text) else text.translate(_FOLD)
+    if _UNCHANGED.match(text):
+        return text
     text = text.translate(_FOLD)
     if _NEEDS_SCRIPTS.search(text):
         text = unicodedata.normalize("NFD", text)
