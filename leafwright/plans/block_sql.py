@@ -117,6 +117,28 @@ _BOTH = "(greatest(0.0::DOUBLE, least(a3, b3) - greatest(a1, b1)) * greatest(0.0
 _LABELS = ", ".join(f"({_q(v)}, {_q(lab)}, {_q(c)}, {_q(s)})" for v, lab, c, s in L.label_rows())
 
 
+ATTACHED = """held AS (SELECT doc_id, vis_id AS outer_, unnest(idl) AS link FROM vis),
+    nest AS (SELECT vis.doc_id, vis.vis_id, min(outer_) AS outer_ FROM vis JOIN held ON held.doc_id = vis.doc_id AND held.link = vis.link WHERE vis.link >= 0 AND outer_ <> vis.vis_id GROUP BY ALL),
+    home AS (SELECT doc_id, comp_id, unnest(string_split(block_ids, ','))::INT AS link FROM comps),
+    bef AS (SELECT vis.doc_id, vis.vis_id, max(r.id) AS t FROM vis JOIN r ON r.doc_id = vis.doc_id AND r.type = 'title' AND r.id < list_min(vis.idl) WHERE vis.link < 0 GROUP BY ALL),
+    ax AS (SELECT vis.doc_id, vis.vis_id, outer_, CASE WHEN vis.link >= 0 THEN vis.link ELSE t END AS link FROM vis LEFT JOIN nest ON nest.doc_id = vis.doc_id AND nest.vis_id = vis.vis_id LEFT JOIN bef ON bef.doc_id = vis.doc_id AND bef.vis_id = vis.vis_id),
+    att AS (SELECT ax.doc_id, ax.vis_id, CASE WHEN outer_ IS NOT NULL THEN 'visual' WHEN comp_id IS NOT NULL THEN 'text' ELSE 'root' END AS parent_kind, coalesce(outer_, comp_id, -1)::BIGINT AS parent_id FROM ax LEFT JOIN home ON home.doc_id = ax.doc_id AND home.link = ax.link)"""
+PARENTS = """lv AS (SELECT doc_id, comp_id, CASE WHEN level > 0 THEN level ELSE 100 END AS lv FROM comps),
+    par AS (SELECT c.doc_id, c.comp_id::BIGINT AS comp_id, coalesce(max(p.comp_id), -1)::BIGINT AS parent_id FROM lv c LEFT JOIN lv p ON p.doc_id = c.doc_id AND p.comp_id < c.comp_id AND p.lv < c.lv GROUP BY ALL)"""
+SUPPLEMENTS = f"""su AS (SELECT doc_id, id, type, page, txt, row_number() OVER (PARTITION BY doc_id, page, type ORDER BY id) - 1 AS n FROM r WHERE type IN {_in(L.SUPPLEMENT_TYPES)}),
+    sup AS (SELECT doc_id, id, type, 'Page ' || page || ' - ' || type || CASE WHEN n > 0 THEN ' - ' || n ELSE '' END AS title, txt AS content FROM su)"""
+PATHS = """cp(doc_id, comp_id, path) AS (SELECT doc_id, comp_id, '0' || lpad(comp_id::VARCHAR, 10, '0') FROM par WHERE parent_id = -1
+        UNION ALL SELECT par.doc_id, par.comp_id, cp.path || '/0' || lpad(par.comp_id::VARCHAR, 10, '0') FROM par JOIN cp ON cp.doc_id = par.doc_id AND cp.comp_id = par.parent_id),
+    vp(doc_id, vis_id, path) AS (SELECT a.doc_id, a.vis_id, coalesce(cp.path || '/', '') || '1' || lpad(a.vis_id::VARCHAR, 10, '0') FROM att a LEFT JOIN cp ON cp.doc_id = a.doc_id AND cp.comp_id = a.parent_id AND a.parent_kind = 'text' WHERE a.parent_kind <> 'visual'
+        UNION ALL SELECT a.doc_id, a.vis_id, vp.path || '/1' || lpad(a.vis_id::VARCHAR, 10, '0') FROM att a JOIN vp ON vp.doc_id = a.doc_id AND vp.vis_id = a.parent_id WHERE a.parent_kind = 'visual'),
+    nodes AS (SELECT doc_id, path, title, content FROM comps JOIN cp USING (doc_id, comp_id) UNION ALL SELECT vp.doc_id, path, title, txt FROM vp JOIN vis USING (doc_id, vis_id) JOIN v0 USING (doc_id, vis_id)
+        UNION ALL SELECT doc_id, '2' || lpad(id::VARCHAR, 10, '0'), title, content FROM sup)"""
+TRUNCATED = f"""{PAIRS}, sides AS (SELECT doc_id, idx, 2 * idx AS ord FROM pairs UNION ALL SELECT doc_id, next_idx, 2 * idx + 1 FROM pairs), one AS (SELECT doc_id, idx, min(ord) AS ord FROM sides GROUP BY ALL),
+    t AS (SELECT one.*, b.page FROM one JOIN b ON b.doc_id = one.doc_id AND b.id = one.idx + 1)"""
+CELLS = """tr AS (SELECT doc_id, id, string_split(txt, '<tr>')[2:] AS rs FROM b WHERE type = 'table'), tr2 AS (SELECT doc_id, id, unnest(rs) AS r, generate_subscripts(rs, 1) - 1 AS row_ FROM tr),
+    tc AS (SELECT doc_id, id, row_, regexp_extract_all(r, '<t[dh]>(.*?)</t[dh]>', 1) AS cs FROM tr2), cells AS (SELECT doc_id, id, row_::INT AS row_, (generate_subscripts(cs, 1) - 1)::INT AS cell, trim(unnest(cs)) AS text FROM tc)"""
+
+
 def oracle_sql() -> dict[str, str]:
     title_level = "coalesce(level, 0)"
     reason = f"""CASE WHEN type IS NULL OR type NOT IN {_in(N.ALLOWED)} THEN 'type' WHEN len(coalesce(bbox, [])) <> 4 THEN 'length'
@@ -154,17 +176,22 @@ def oracle_sql() -> dict[str, str]:
         "table_shapes": f"""WITH {B}, h AS (SELECT doc_id, id, (length(txt) - length(replace(txt, '<tr>', ''))) / 4 AS r, (length(txt) - length(replace(replace(txt, '<td', ''), '<th', ''))) / 3 AS c FROM b WHERE type = 'table')
             SELECT doc_id, id, r::BIGINT AS n_rows, c::BIGINT AS n_cells, (c / r)::BIGINT AS n_cols FROM h WHERE c > 0""",
         "text_components": f"WITH {B}, {R}, {COMPS} SELECT * FROM comps",
-        "tree_parents": f"""WITH {B}, {R}, {COMPS}, lv AS (SELECT doc_id, comp_id, CASE WHEN level > 0 THEN level ELSE 100 END AS lv FROM comps)
-            SELECT c.doc_id, c.comp_id::BIGINT AS comp_id, coalesce(max(p.comp_id), -1)::BIGINT AS parent_id FROM lv c LEFT JOIN lv p ON p.doc_id = c.doc_id AND p.comp_id < c.comp_id AND p.lv < c.lv GROUP BY ALL""",
+        "tree_parents": f"WITH {B}, {R}, {COMPS}, {PARENTS} SELECT * FROM par",
         "tree_visuals": f"WITH {B}, {R}, {VIS} SELECT * EXCLUDE (idl) FROM vis",
-        "tree_attached": f"""WITH {B}, {R}, {COMPS}, {VIS}, held AS (SELECT doc_id, vis_id AS outer_, unnest(idl) AS link FROM vis),
-            nest AS (SELECT vis.doc_id, vis.vis_id, min(outer_) AS outer_ FROM vis JOIN held ON held.doc_id = vis.doc_id AND held.link = vis.link WHERE vis.link >= 0 AND outer_ <> vis.vis_id GROUP BY ALL),
-            home AS (SELECT doc_id, comp_id, unnest(string_split(block_ids, ','))::INT AS link FROM comps),
-            bef AS (SELECT vis.doc_id, vis.vis_id, max(r.id) AS t FROM vis JOIN r ON r.doc_id = vis.doc_id AND r.type = 'title' AND r.id < list_min(vis.idl) WHERE vis.link < 0 GROUP BY ALL),
-            x AS (SELECT vis.doc_id, vis.vis_id, outer_, CASE WHEN vis.link >= 0 THEN vis.link ELSE t END AS link FROM vis LEFT JOIN nest ON nest.doc_id = vis.doc_id AND nest.vis_id = vis.vis_id LEFT JOIN bef ON bef.doc_id = vis.doc_id AND bef.vis_id = vis.vis_id)
-            SELECT x.doc_id, x.vis_id, CASE WHEN outer_ IS NOT NULL THEN 'visual' WHEN comp_id IS NOT NULL THEN 'text' ELSE 'root' END AS parent_kind, coalesce(outer_, comp_id, -1)::BIGINT AS parent_id FROM x LEFT JOIN home ON home.doc_id = x.doc_id AND home.link = x.link""",
-        "tree_supplements": f"""WITH {B}, {R}, s AS (SELECT doc_id, id, type, page, txt, row_number() OVER (PARTITION BY doc_id, page, type ORDER BY id) - 1 AS n FROM r WHERE type IN {_in(L.SUPPLEMENT_TYPES)})
-            SELECT doc_id, id, type, 'Page ' || page || ' - ' || type || CASE WHEN n > 0 THEN ' - ' || n ELSE '' END AS title, txt AS content FROM s""",
+        "tree_attached": f"WITH {B}, {R}, {COMPS}, {VIS}, {ATTACHED} SELECT * FROM att",
+        "tree_supplements": f"WITH {B}, {R}, {SUPPLEMENTS} SELECT * FROM sup",
+        "tree_preview": f"""WITH RECURSIVE {B}, {R}, {COMPS}, {PARENTS}, {VIS}, {ATTACHED}, {SUPPLEMENTS}, {PATHS}
+            SELECT doc_id, path, repeat('    ', len(string_split(path, '/'))) || title || '|' || CASE WHEN length(content) > 30 THEN content[1:30] || '...' ELSE content END AS line FROM nodes
+            UNION ALL SELECT DISTINCT doc_id, '', '|' FROM nodes""",
+        "parse_links": f"""WITH RECURSIVE {B}, {TRUNCATED}, {RANGES}, x AS (SELECT t.doc_id, chunk_no, idx AS src, lead(idx) OVER (PARTITION BY t.doc_id, chunk_no ORDER BY page, ord) AS tgt FROM t JOIN ranges ON ranges.doc_id = t.doc_id AND page BETWEEN start_ AND end_)
+            SELECT * FROM x WHERE (src + tgt) % 3 = 0""",
+        "gt_parse": f"""WITH {B}, {TRUTH} SELECT doc_id, (id - 1)::VARCHAR AS gt_id, page, {" || ' ' || ".join(f"trunc(u{i} * 0.98::DOUBLE * 1000)::INT || '.0'" for i in range(1, 5))} AS box,
+            {_strip(f"regexp_replace(txt[1:200], {_q(S + chr(43))}, ' ', 'g')")} AS content FROM bt""",
+        "table_cells": f"WITH {B}, {CELLS} SELECT doc_id, id, row_ AS \"row\", cell, cell AS col, text FROM cells",
+        "table_header_rows": f"""WITH {B}, {TABLE_PAIRS}, {CELLS}, k AS (SELECT doc_id, id, row_, cell, regexp_replace(text, '\\s', '', 'g') AS v FROM cells WHERE row_ < 5),
+            u AS (SELECT p.doc_id, upper_idx + 1 AS a, lower_idx + 1 AS z, row_, cell, v FROM pairs p JOIN k ON k.doc_id = p.doc_id AND k.id = upper_idx + 1), w AS (SELECT p.doc_id, upper_idx + 1 AS a, lower_idx + 1 AS z, row_, cell, v FROM pairs p JOIN k ON k.doc_id = p.doc_id AND k.id = lower_idx + 1),
+            j AS (SELECT coalesce(u.doc_id, w.doc_id) AS doc_id, coalesce(u.a, w.a) AS upper_id, coalesce(u.z, w.z) AS lower_id, coalesce(u.row_, w.row_) AS row_, u.v IS NOT DISTINCT FROM w.v AS same FROM u FULL JOIN w ON u.doc_id = w.doc_id AND u.a = w.a AND u.z = w.z AND u.row_ = w.row_ AND u.cell = w.cell)
+            SELECT doc_id, upper_id, lower_id, coalesce(min(CASE WHEN NOT same THEN row_ END), max(row_) + 1)::INT AS n_header FROM j GROUP BY ALL""",
         "subnode_split": f"""WITH RECURSIVE n AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY node_key ORDER BY loaded_at DESC) AS rn FROM sub_com_trees) WHERE rn = 1 AND node_type = 'text' AND length(content) > 500),
             s AS (SELECT node_key, coalesce(title, '{TR.DEFAULT_TITLE}') AS title, block_ids, list_filter(string_split_regex(content, {_q(_MARKS)}), lambda x: x <> '') AS segs FROM n),
             g(node_key, i, sub, acc) AS (SELECT node_key, 1, 1, segs[1] FROM s
