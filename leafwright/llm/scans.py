@@ -29,11 +29,11 @@ from leafwright.runtime import cut, hot_keys, salted_join, written
 #: What a scanner makes of printed characters, as pairs of printed and read.
 MISREADINGS = (
     ("e", "c"), ("s", "5"), ("t", "f"), ("o", "0"), ("i", "1"), ("l", "1"), ("d", "cl"), ("m", "rn"), ("u", "ii"), ("g", "9"), ("b", "6"), ("b", "8"), ("h", "li"), ("w", "vv"), ("ri", "n"), ("rn", "m"),
-    ("l", "|"), ("i", "|"), ("l", "!"), ("i", "!"), ("о", "0"), ("и", "н"), ("п", "н"), ("з", "3"), ("б", "6"),
+    ("l", "|"), ("i", "|"), ("l", "!"), ("i", "!"), ("о", "0"), ("и", "н"), ("п", "н"), ("з", "3"), ("б", "6"), ("ш", "щ"),
 )
 #: What each character turns into so that characters read for one another, or for pairs of others, become equal.
 SHAPES = str.maketrans({
-    "h": "ll", "u": "ll", "d": "cl", "w": "vv", "n": "rl", "m": "rrl", "i": "l", "1": "l", "|": "l", "!": "l", "e": "c", "t": "f", "0": "o", "о": "o", "5": "s", "6": "b", "8": "b", "б": "b", "9": "g", "и": "н", "п": "н", "3": "з",
+    "h": "ll", "u": "ll", "d": "cl", "w": "vv", "n": "rl", "m": "rrl", "i": "l", "1": "l", "|": "l", "!": "l", "e": "c", "t": "f", "0": "o", "о": "o", "5": "s", "6": "b", "8": "b", "б": "b", "9": "g", "и": "н", "п": "н", "3": "з", "щ": "ш",
 })
 #: A misread word has at least this length, and its model is at least so many times as frequent.
 MIN_LENGTH, TIMES = 5, 8
@@ -361,12 +361,30 @@ def noisy_records(blocks: DataFrame, trees: DataFrame) -> DataFrame:
 _PARAGRAPH = re.compile(r"\n\s*\n")
 
 
+def _without_head(line: str, want: list[str]) -> str:
+    """The line without a header that stands inside it, and without the sign and number after that."""
+    tokens = line.split()
+    shapes = [token_shape(t) for t in tokens]
+    at = next((i for i in range(len(shapes) - len(want) + 1) if shapes[i : i + len(want)] == want), -1)
+    if at < 0:
+        return line
+    end = at + len(want)
+    if end + 1 < len(tokens) and tokens[end] in ("|", "·", "•") and tokens[end + 1].isdigit():
+        end += 2
+    return " ".join(tokens[:at] + tokens[end:])
+
+
+def _without_page(line: str, pages: set[int]) -> str:
+    return PAGE_INSIDE.sub(lambda m: m[0] if int(m["n"] or m["n2"]) not in pages or _REFERENCE.search(line[: m.start()]) else "", line)
+
+
 def repair(text: str, fixes: dict[tuple[str, str], str], pages: set[int]) -> str:
     """The text with header and page-number lines taken out, words made whole and read right, lines joined.
 
     A blank line ends a paragraph, unless only a header or page number stood between its two parts.
     """
     heads = [k for n, k in fixes if n == "running_head"]
+    has_page = any(n == "page_no" for n, _ in fixes)
     lines: list[str] = []
     gap = False
     for line in re.split(r"\r\n|[\n\r]", text):
@@ -379,7 +397,9 @@ def repair(text: str, fixes: dict[tuple[str, str], str], pages: set[int]) -> str
         if gap and not line.strip():
             continue
         gap = False
-        lines.append(line)
+        for head in heads:
+            line = _without_head(line, head.split(" "))
+        lines.append(_without_page(line, pages) if has_page else line)
     text = "\n".join(lines)
     text = _replace_cuts(text, lambda a, b, both: fixes.get(("hyphen", f"{a} {b}")) or (f"{a}-{b}" if "\n" in both else both))
     words = {k: f for (n, k), f in fixes.items() if n == "glyph"}

@@ -82,6 +82,11 @@ def test_repair(spark):
     assert got["b:2"] == "The committee reports" and got["b:5"] == "the conveyor and long-term plans" and got["b:7"] == "see page above" and got["b:4"] == got["b:6"] == ""
 
 
+def test_repair_inside_lines():
+    head = scans.line_shape("Annex II Report")
+    assert scans.repair("the temporary ANNEX II Report · 3 kernel and Page 3 of 9 the rest, see page 3", {("running_head", head): "", ("page_no", ""): ""}, {3}) == "the temporary kernel and the rest, see page 3"
+
+
 def test_misreadings():
     assert scans.is_misreading("kernel", "kemel") and scans.is_misreading("within", "witliin") and scans.is_misreading("liegen", "l1egen") and not scans.is_misreading("hat", "cat") and not scans.is_misreading("same", "same")
     assert scans.shape("liegen") == scans.shape("l1egen") and scans.shape("include") == scans.shape("inclucle")
