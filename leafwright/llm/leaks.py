@@ -159,11 +159,11 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, ta
     """doc_id, item_id, run, overlap, substitutions of all pairs whose longest exact run has min_words words or more,
     or whose overlap with substitutions is twice as long.
 
-    Items with fewer words than min_words and null texts are in no pair; every item that shares a passage counts;
+    Items with fewer words than min_words, null texts and rows without an id are in no pair; every item that shares a passage counts;
     of repeated rows the best counts.
     """
-    docs = documents.select(F.col("doc_id").cast("long"), "text").filter("text <> ''")
-    tests = items.select(F.col("item_id").cast("long"), "text").filter("text <> ''").distinct()
+    docs = documents.select(F.col("doc_id").cast("long"), "text").filter("text <> '' and doc_id is not null")
+    tests = items.select(F.col("item_id").cast("long"), "text").filter("text <> '' and item_id is not null").distinct()
     size = tests.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     keep = (F.col("run") >= min_words) | (F.col("overlap") >= 2 * min_words)
     found = _by_table(docs, tests) if size <= table_limit else _by_join(docs, tests)

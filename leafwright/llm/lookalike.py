@@ -183,11 +183,12 @@ def normalize_texts(df: DataFrame, text: str, out: str = "form") -> DataFrame:
 def same_look_pairs(records: DataFrame) -> DataFrame:
     """key_a, key_b of records (doc_id, rec_key, text) of one document that look the same but are stored differently.
 
-    Null texts and texts without a visible character are in no pair. Repeated rows of a record count once.
+    Null texts and texts without a visible character are in no pair, nor are records without a document or key.
+    Repeated rows of a record count once.
     Texts are compared as classes of equal stored texts, so equal copies never meet each other: the work
     is the size of the result. Each class pair is expanded by its members.
     """
-    forms = records.filter(F.col("text").isNotNull()).select("doc_id", "rec_key", "text", compare_form_column(F.col("text")).alias("form")).filter("form <> ''")
+    forms = records.filter("text is not null and doc_id is not null and rec_key is not null").select("doc_id", "rec_key", "text", compare_form_column(F.col("text")).alias("form")).filter("form <> ''")
     wide = forms.groupBy("doc_id", "form").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("doc_id", "form")
     members = forms.join(wide, ["doc_id", "form"], "left_semi").select("doc_id", "form", "text", "rec_key").distinct()
     classes = members.select("doc_id", "form", "text").distinct()

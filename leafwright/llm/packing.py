@@ -73,7 +73,7 @@ def parts_of(text: str, capacity: int, enc) -> list[tuple[int, int, int]]:
 
 
 def token_sizes(documents: DataFrame, capacity: int, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, part_no, start_char, end_char, n_tokens. Null texts and texts without a token are no items.
+    """doc_id, part_no, start_char, end_char, n_tokens. Rows without a doc_id, null texts and texts without a token are no items.
 
     A doc_id that comes twice counts once, with its longer text.
     """
@@ -85,7 +85,7 @@ def token_sizes(documents: DataFrame, capacity: int, vocabulary: str = VOCABULAR
             parts = [[dict(zip(("start_char", "end_char", "n_tokens"), p, strict=True)) for p in parts_of(t, capacity, enc)] for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(parts, kind)], ["doc_id", "parts"])
 
-    src = documents.select(F.col("doc_id").cast("long"), "text").filter("text <> ''")
+    src = documents.select(F.col("doc_id").cast("long"), "text").filter("text <> '' and doc_id is not null")
     sized = src.mapInArrow(run, "doc_id long, parts array<struct<start_char int, end_char int, n_tokens int>>").filter("size(parts) > 0")
     once = sized.groupBy("doc_id").agg(F.max_by("parts", F.struct(F.element_at("parts", -1)["end_char"], F.to_json("parts"))).alias("parts"))
     return once.select("doc_id", F.posexplode("parts").alias("part_no", "p")).select("doc_id", "part_no", "p.*")

@@ -142,7 +142,7 @@ _OUT = "node_key long, piece_no int, n_pieces int, content string, n_chars int,
 def node_pieces(nodes: DataFrame, limits: DataFrame, only_oversized: bool = False) -> DataFrame:
     """node_key, piece_no, n_pieces, content, n_chars (marks not counted), block_ids, start_char (within its segment), was_cut.
 
-    A node within its limit, or of a type without one, is one piece. Nodes without content have no piece.
+    A node within its limit, or of a type without one, is one piece. Nodes without content or key have no piece.
     Nodes delivered twice give their pieces once. Types without limit are never read into Python.
     """
     by = size_limits(limits)
@@ -150,7 +150,7 @@ def node_pieces(nodes: DataFrame, limits: DataFrame, only_oversized: bool = Fals
     limit = F.lit(None).cast("int")
     for kind, (most, _) in by.items():
         limit = F.when(F.col("node_type") == kind, F.lit(most)).otherwise(limit)
-    src = nodes.select("node_key", "node_type", "content", "block_ids").filter("content <> ''").withColumn("over", F.coalesce(size > limit, F.lit(False)))
+    src = nodes.select("node_key", "node_type", "content", "block_ids").filter("content <> '' and node_key is not null").withColumn("over", F.coalesce(size > limit, F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

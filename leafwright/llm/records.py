@@ -28,7 +28,7 @@ def title_records(blocks: DataFrame, trees: DataFrame) -> DataFrame:
 
 
 def text_records(blocks: DataFrame, trees: DataFrame) -> DataFrame:
-    """doc_id, rec_key, text of text blocks, list items and text nodes; records without a text are left out."""
+    """doc_id, rec_key, text of text blocks, list items and text nodes; records without a text or key are left out."""
     b = blocks.filter(F.col("block_type").isin(*TEXT_BLOCKS)).select("doc_id", block_key().alias("rec_key"), F.col("content").alias("text"))
     t = tree_nodes(trees, ["node_no", "content"], ["tree_key", "doc_id"], only_types=TEXT_NODES).select("doc_id", node_key().alias("rec_key"), F.col("content").alias("text"))
-    return b.unionByName(t).filter("text <> ''")
+    return b.unionByName(t).filter("text <> '' and rec_key is not null")

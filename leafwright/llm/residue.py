@@ -263,9 +263,10 @@ def is_residue(text: str, verdicts: Verdicts) -> str | None:
 def residues(documents: DataFrame, template_limit: int = TEMPLATE_LIMIT) -> DataFrame:
     """doc_id, kind (message, filler, slot) of all documents that are residue; repeated rows count once.
 
-    Null, empty and blank texts are none, nor are texts that only speak about such strings.
+    Null, empty and blank texts are none, nor are texts that only speak about such strings; rows without a doc_id
+    are left out.
     """
-    docs = documents.select("doc_id", "text").filter("text <> ''")
+    docs = documents.select("doc_id", "text").filter("text <> '' and doc_id is not null")
     known = cut(template_verdicts(mined_templates(docs)).select("template", "verdict"))
     table = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in known.collect()] if known.count() <= template_limit else None)
 

@@ -245,11 +245,11 @@ def header_in(text: str, head: str, pages: set[int]) -> tuple[bool, bool]:
 
 
 def scan_records(blocks: DataFrame, trees: DataFrame) -> DataFrame:
-    """doc_id, rec_key, text, pages: all text records with the pages they stand on."""
+    """doc_id, rec_key, text, pages: all text records with the pages they stand on; those without a text or key are left out."""
     b = blocks.filter(F.col("block_type").isin(*TEXT_BLOCKS)).select("doc_id", block_key().alias("rec_key"), F.col("content").alias("text"), F.when(F.col("page").isNotNull(), F.array("page")).otherwise(F.array().cast("array<int>")).alias("pages"))
     t = tree_nodes(trees, ["node_no", "content", "places"], ["tree_key", "doc_id"], only_types=TEXT_NODES)
     t = t.select("doc_id", node_key().alias("rec_key"), F.col("content").alias("text"), F.array_distinct(F.filter(F.transform("places", lambda p: p["page"]), lambda p: p.isNotNull())).alias("pages"))
-    return b.unionByName(t).filter("text <> ''")
+    return b.unionByName(t).filter("text <> '' and rec_key is not null")
 
 
 def header_lines(blocks: DataFrame) -> DataFrame:

@@ -254,3 +254,16 @@ def test_prefix_tree():
         t.add(line.split())
     assert sorted(" ".join(x) for x in t.counts) == ["could not open file in store <*>", "could not read the file now"]
     assert t.counts["could", "not", "open", "file", "in", "store", "<*>"] == 2
+
+
+def test_rows_without_a_key(spark):
+    blocks = spark.createDataFrame([(None, 1, 1, 1, "text", "<b>x</b> - 1 -", "", ""), (None, None, None, None, None, None, None, None)], BLOCKS)
+    trees = spark.createDataFrame([(None, None, '{"type": "text", "content": "<b>"}')], TREES)
+    r = records.text_records(blocks, trees)
+    assert r.count() == markup.markup_formats(r).count() == scans.noisy_records(blocks, trees).count() == 0
+    assert lookalike.same_look_pairs(records.title_records(blocks, trees)).count() == 0
+    docs = spark.createDataFrame([(None, "404 Not Found"), (None, PASSAGE)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, PASSAGE), (None, PASSAGE)], "item_id long, text string")
+    assert residue.residues(docs).count() == leaks.leaks(docs, items).count() == packing.token_sizes(docs, 64).count() == 0
+    nodes = spark.createDataFrame([(None, "text", "x" * 999, None, 0)], NODES)
+    assert pieces.node_pieces(nodes, size_limits(spark)).count() == 0
