@@ -38,3 +38,29 @@ def cases(rows: DataFrame, labels: DataFrame, task: str) -> DataFrame:
     return both.select("doc_id", F.lit(task).alias("task"), F.to_json(F.struct(F.lit("").alias("image"), talk.alias("conversations"), F.lit("grounding").alias("type"))).alias("case"))
 
 
+
+
+def table_cases(requests: DataFrame, answers: DataFrame) -> DataFrame:
+    """doc_id, upper_idx, lower_idx, case: JSON of the question about a table pair (prompt) and its answer, the cells'
+    flags as a list; a pair without an answer is no continuation and gets an empty list."""
+    both = requests.join(answers.select("doc_id", "upper_idx", "lower_idx", "cells"), ["doc_id", "upper_idx", "lower_idx"], "left")
+    flags = F.concat(F.lit("["), F.array_join(F.coalesce("cells", F.array().cast("array<int>")).cast("array<string>"), ", "), F.lit("]"))
+    turn = lambda who, value: F.struct(F.lit(who).alias("from"), value.alias("value"))
+    case = F.to_json(F.struct(F.lit("").alias("image"), F.array(turn("human", F.col("prompt")), turn("gpt", flags)).alias("conversations"), F.lit("grounding").alias("type")))
+    return both.select("doc_id", "upper_idx", "lower_idx", case.alias("case"))
+
+
+def relations(blocks: DataFrame) -> DataFrame:
+    """doc_id, kind, src, tgt of annotated blocks: a row per link (contd, image, table_merge) and per title (its level as tgt)."""
+
+    def of(kind: str, target: str, where: str) -> DataFrame:
+        return blocks.filter(where).select("doc_id", F.lit(kind).alias("kind"), F.col("id").alias("src"), F.col(target).cast("int").alias("tgt"))
+
+    out = of("contd", "contd", "contd >= 0").unionByName(of("image", "image", "image >= 0")).unionByName(of("title", "level", "type = 'title' and level >= 0"))
+    return out.unionByName(of("table_merge", "table_merge", "table_merge >= 0")) if "table_merge" in blocks.columns else out
+
+
+def relation_records(links: DataFrame) -> DataFrame:
+    """doc_id, record: JSON of a document's relations by kind, each a sorted list of pairs."""
+    per = links.groupBy("doc_id", "kind").agg(F.array_sort(F.collect_list(F.array("src", "tgt"))).alias("pairs"))
+    return per.groupBy("doc_id").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "pairs"))))).alias("record"))

@@ -44,11 +44,12 @@ def synced_levels(levels: DataFrame) -> DataFrame:
     return fold_sorted(levels, ["doc_id"], ["chunk_no", "pos"], lambda: {"known": {}, "chunk": [], "doc": None}, step, ["idx", "level"], "doc_id long, idx int, level int")
 
 
-def linked_blocks(blocks: DataFrame, contd: DataFrame | None = None, levels: DataFrame | None = None, images: DataFrame | None = None, contained: DataFrame | None = None) -> DataFrame:
+def linked_blocks(blocks: DataFrame, contd: DataFrame | None = None, levels: DataFrame | None = None, images: DataFrame | None = None, contained: DataFrame | None = None, model_first: bool = False) -> DataFrame:
     """blocks with contd, level and image from the given links; -1 where there is none.
 
-    Of several links of a block the last counts; a block inside an image block links to that in any case. A target
-    becomes its id, idx + 1. Links of blocks that do not exist are without effect.
+    Of several links of a block the last counts; a block inside an image block links to that in any case, or with
+    model_first only where the model has no link. A target becomes its id, idx + 1. Links of blocks that do not
+    exist are without effect.
     """
     out = blocks.drop("contd", "level", "image").withColumn("idx", F.col("id") - 1)
 
@@ -63,7 +64,7 @@ def linked_blocks(blocks: DataFrame, contd: DataFrame | None = None, levels: Dat
     last(contd, "contd")
     last(images, "image")
     if contained is not None:
-        out = out.join(contained.select("doc_id", "idx", (F.col("large_idx") + 1).alias("__in")), ["doc_id", "idx"], "left").withColumn("image", F.coalesce("__in", "image")).drop("__in")
+        out = out.join(contained.select("doc_id", "idx", (F.col("large_idx") + 1).alias("__in")), ["doc_id", "idx"], "left").withColumn("image", F.when(F.lit(model_first) & (F.col("image") >= 0), F.col("image")).otherwise(F.coalesce("__in", "image"))).drop("__in")
     if levels is None:
         out = out.withColumn("level", F.lit(-1))
     else:

@@ -19,6 +19,7 @@ from leafwright.operators import prompts as P
 from leafwright.operators import tables as TB
 from leafwright.operators import tree as TR
 from leafwright.runtime import latest, table
+from leafwright.sources import sinks as SK
 
 #: Chunks of the test documents, which are short.
 CHUNK = 8
@@ -194,6 +195,18 @@ def tree_preview(spark, folder):
     return TR.preview(TR.tree(blocks(spark, folder)))
 
 
+def tree_json(spark, folder):
+    return SK.tree_json(TR.tree(blocks(spark, folder)))
+
+
+def relations(spark, folder):
+    return K.relations(blocks(spark, folder))
+
+
+def relation_records(spark, folder):
+    return K.relation_records(K.relations(blocks(spark, folder)))
+
+
 def subnode_split(spark, folder):
     n = latest(table(spark, folder, "sub_com_trees"), ["node_key"], "loaded_at").withColumnRenamed("node_type", "type").withColumns({"title": F.coalesce("title", F.lit(TR.DEFAULT_TITLE)), "content": _content()})
     return E.subnodes(n, ("node_key",)).select("node_key", "sub_no", "content", F.array_join(F.col("block_ids").cast("array<string>"), ",").alias("block_ids"))
@@ -280,7 +293,7 @@ def interchange_pages(spark, folder):
 
 _QUERIES = (
     normalize_text, bbox_scale, bbox_thousandths, label_map, validate_blocks, block_order, sentence_head_tail, merge_rule_flags, truncation_candidates, truncation_rows, title_candidates, visual_candidates, containment_links, table_pairs, table_screen,
-    chunk_ranges, chunk_items, prompt_text, parse_links, parse_levels, level_sync, apply_links, table_cells, table_shapes, table_header_rows, table_merge, text_components, tree_parents, tree_visuals, tree_attached, tree_supplements, tree_preview, subnode_split,
+    chunk_ranges, chunk_items, prompt_text, parse_links, parse_levels, level_sync, apply_links, table_cells, table_shapes, table_header_rows, table_merge, text_components, tree_parents, tree_visuals, tree_attached, tree_supplements, tree_preview, tree_json, relations, relation_records, subnode_split,
     title_linking, level_marks, training_cases, gt_parse, box_iou, align_score, align_match, teds, eval_summary, doc_status, resume_anti_join, doc_ids, interchange_pages,
 )
 

@@ -192,6 +192,8 @@ def oracle_sql() -> dict[str, str]:
             u AS (SELECT p.doc_id, upper_idx + 1 AS a, lower_idx + 1 AS z, row_, cell, v FROM pairs p JOIN k ON k.doc_id = p.doc_id AND k.id = upper_idx + 1), w AS (SELECT p.doc_id, upper_idx + 1 AS a, lower_idx + 1 AS z, row_, cell, v FROM pairs p JOIN k ON k.doc_id = p.doc_id AND k.id = lower_idx + 1),
             j AS (SELECT coalesce(u.doc_id, w.doc_id) AS doc_id, coalesce(u.a, w.a) AS upper_id, coalesce(u.z, w.z) AS lower_id, coalesce(u.row_, w.row_) AS row_, u.v IS NOT DISTINCT FROM w.v AS same FROM u FULL JOIN w ON u.doc_id = w.doc_id AND u.a = w.a AND u.z = w.z AND u.row_ = w.row_ AND u.cell = w.cell)
             SELECT doc_id, upper_id, lower_id, coalesce(min(CASE WHEN NOT same THEN row_ END), max(row_) + 1)::INT AS n_header FROM j GROUP BY ALL""",
+        "relations": f"""WITH {B} SELECT doc_id, 'contd' AS kind, id AS src, contd AS tgt FROM b WHERE contd >= 0 UNION ALL SELECT doc_id, 'image', id, image FROM b WHERE image >= 0
+            UNION ALL SELECT doc_id, 'title', id, level FROM b WHERE type = 'title' AND level >= 0""",
         "subnode_split": f"""WITH RECURSIVE n AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY node_key ORDER BY loaded_at DESC) AS rn FROM sub_com_trees) WHERE rn = 1 AND node_type = 'text' AND length(content) > 500),
             s AS (SELECT node_key, coalesce(title, '{TR.DEFAULT_TITLE}') AS title, block_ids, list_filter(string_split_regex(content, {_q(_MARKS)}), lambda x: x <> '') AS segs FROM n),
             g(node_key, i, sub, acc) AS (SELECT node_key, 1, 1, segs[1] FROM s

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -57,14 +56,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_written: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it again: cuts lineage and keeps column pruning."""
+    """Writes df as Parquet into the shared folder and reads it again: cuts lineage and keeps column pruning.
+
+    The tables stay for results that are still to be read; remove_written takes them away.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/leafwright/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_written(spark: SparkSession) -> int:
+    """Deletes the tables that `written` made in this process; to be called when their results have been stored."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -101,10 +117,6 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", s
     return b.join(s, [key, "__salt"], how).drop("__salt")
 
 
-def path_exists(path: str) -> bool:
-    return os.path.exists(path)
-
-
 #: Rows of one key are cut into runs of so many positions for the two-level window functions below.
 RUN_LENGTH = 4096
 

@@ -74,6 +74,48 @@ def test_preview_with_nested_visuals(spark):
     assert [r.line for r in TR.preview(TR.tree(b)).filter("doc_id = 2").orderBy("path").collect()] == ["|", "    |"]
 
 
+def test_tree_as_json(spark):
+    import json
+
+    from leafwright.sources import sinks
+
+    b = make(spark, block(1, 1, "title", "T", 1), block(1, 2, "text", "x"), block(1, 3, "table", "<t>"), block(1, 4, "title", "U", 2), block(1, 5, "footer", "f"))
+    root = json.loads(sinks.tree_json(TR.tree(b)).first().value)
+    assert [(c["type"], c["title"]) for c in root["children"]] == [("text", "T"), ("footer", "Page 1 - footer")]
+    assert [c["type"] for c in root["children"][0]["children"]] == ["text", "table"] and root["children"][0]["block_ids"] == [1, 2]
+
+
+def test_cases_and_relations(spark):
+    import json
+
+    from leafwright.operators import cases as K
+
+    b = make(spark, block(1, 1, "title", "T", 1), block(1, 2, "text", "x", contd=3), block(1, 3, "text", "y"), block(1, 4, "image", None, image=1))
+    rel = K.relations(b)
+    assert sorted(map(tuple, rel.collect())) == [(1, "contd", 2, 3), (1, "image", 4, 1), (1, "title", 1, 1)]
+    assert json.loads(K.relation_records(rel).first().record) == {"contd": [[2, 3]], "image": [[4, 1]], "title": [[1, 1]]}
+    asked = spark.createDataFrame([(1, 0, 1, "p"), (1, 5, 6, "q")], "doc_id long, upper_idx int, lower_idx int, prompt string")
+    answers = spark.createDataFrame([(1, 0, 1, [1, 0])], "doc_id long, upper_idx int, lower_idx int, cells array<int>")
+    said = {r.upper_idx: json.loads(r.case)["conversations"][1]["value"] for r in K.table_cases(asked, answers).collect()}
+    assert said == {0: "[1, 0]", 5: "[]"}
+    rows = C.title_rows(b)
+    labels = spark.createDataFrame([(1, 0, 1)], "doc_id long, idx int, level int")
+    talk = json.loads(K.cases(rows, labels, "title").first().case)["conversations"]
+    assert talk[0]["from"] == "human" and talk[0]["value"].startswith("<image>\nTitle Level Analysis: <|id|>0") and talk[1]["value"] == "<|id|>0<|level|>1"
+
+
+def test_links_and_containment(spark):
+    b = make(spark, block(1, 1, "image_block", None), block(1, 2, "image", None), block(1, 3, "text", "t"))
+    links = spark.createDataFrame([(1, 1, 2, 0), (1, 1, 0, 1), (1, 9, 0, 0)], "doc_id long, src int, tgt int, ord int")
+    inside = C.containment_links(b)
+    assert [tuple(r) for r in inside.collect()] == [(1, 1, 0)]
+    for first, want in ((False, 1), (True, 1)):
+        out = LK.linked_blocks(b, images=links, contained=inside, model_first=first)
+        assert {r.id: r.image for r in out.collect()} == {1: -1, 2: want, 3: -1}
+    late = spark.createDataFrame([(1, 1, 2, 0)], "doc_id long, src int, tgt int, ord int")
+    assert {r.id: r.image for r in LK.linked_blocks(b, images=late, contained=inside, model_first=True).collect()}[2] == 3
+
+
 def test_empty_tables(spark):
     b = make(spark)
     assert TR.tree(b).count() == C.truncation_pairs(b).count() == C.screened_pairs(b).count() == LK.title_links(b).count() == 0

@@ -91,3 +91,13 @@ def test_interchange_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.select(key).collect())) == sorted(map(tuple, blocks.select(key).collect()))
     assert normalize.doc_ids(back.select("doc_id"), limit=1).count() == 1
     assert back.filter(F.col("source_id").isNull()).count() == 0
+
+
+def test_places_of_normalized_files(spark, tmp_path):
+    page = lambda text: {"2": [{"type": "text", "content": text, "bbox": [0, 0, 1, 1]}], "1": [{"type": "title", "content": "t"}]}
+    put(tmp_path / "n", "a/a.json", {"doc_id": "a", "pages": page("own folder")})
+    put(tmp_path / "n", "m/a.json", page("model's folder"))
+    put(tmp_path / "n", "m/b.json", page("model's folder"))
+    put(tmp_path / "n", "m.json", [{"doc_id": "c", "pages": page("one file")}, {"doc_id": "b", "pages": page("one file")}])
+    got = {(r.doc_id, r.page): r.content for r in sinks.read_normalized(spark, str(tmp_path / "n"), "m").collect()}
+    assert got == {("a", 1): "t", ("a", 2): "own folder", ("b", 1): "t", ("b", 2): "model's folder", ("c", 1): "t", ("c", 2): "one file"}
