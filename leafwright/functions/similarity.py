@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +29,10 @@ def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+#: Subtrees with more nodes than this are compared a row at a time.
+WIDE = 48
+
+
 def level_tree(nodes: list[tuple[str, int]]) -> tuple[list[str], list[int]]:
     """Labels and parents (-1: the root) of nodes given with levels in reading order."""
     parents: list[int] = []
@@ -66,27 +71,77 @@ def tree_distance(a: tuple[list[str], list[int]], b: tuple[list[str], list[int]]
 
     la, lma, ka = prepared(a)
     lb, lmb, kb = prepared(b)
-    dist = [[0] * len(lb) for _ in la]
-    for i in ka:
-        for j in kb:
-            m, n = i - lma[i] + 2, j - lmb[j] + 2
-            f = [[0] * n for _ in range(m)]
-            for x in range(1, m):
-                f[x][0] = x
-            for y in range(1, n):
-                f[0][y] = y
-            for x in range(1, m):
-                p = x + lma[i] - 1
+    dist = _leaf_distances(la, lma, lb, lmb)
+    left = np.array(lmb)
+    codes: dict = {}
+    lb_codes = np.array([codes.setdefault(x, len(codes)) for x in lb])
+    for i in (k for k in ka if lma[k] != k):
+        low = lma[i]
+        for j in (k for k in kb if lmb[k] != k):
+            at, n = lmb[j], j - lmb[j] + 2
+            if n > WIDE:
+                _by_rows(dist, la, lma, i, j, left, lb_codes, codes)
+                continue
+            f = [list(range(n))]
+            for x in range(1, i - low + 2):
+                p = x + low - 1
+                before, row, own = f[-1], [x], dist[p]
+                far = f[lma[p] - low]
                 for y in range(1, n):
-                    q = y + lmb[j] - 1
-                    if lma[p] == lma[i] and lmb[q] == lmb[j]:
-                        f[x][y] = min(f[x - 1][y] + 1, f[x][y - 1] + 1, f[x - 1][y - 1] + (la[p] != lb[q]))
-                        dist[p][q] = f[x][y]
+                    q = y + at - 1
+                    if lma[p] == low and lmb[q] == at:
+                        v = min(before[y] + 1, row[-1] + 1, before[y - 1] + (la[p] != lb[q]))
+                        own[q] = v
                     else:
-                        f[x][y] = min(f[x - 1][y] + 1, f[x][y - 1] + 1, f[lma[p] - lma[i]][lmb[q] - lmb[j]] + dist[p][q])
+                        v = min(before[y] + 1, row[-1] + 1, far[lmb[q] - at] + own[q])
+                    row.append(v)
+                f.append(row)
     return dist[-1][-1]
 
 
+def _leaf_distances(la: list, lma: list[int], lb: list, lmb: list[int]) -> list[list[int]]:
+    """Distances of all pairs of subtrees of which one is a single node: the other's size less one, and one more if
+    the node's label is not in it. Other pairs are 0 as yet."""
+    dist = np.zeros((len(la), len(lb)), np.int64)
+
+    def fill_in(labels: list, lows: list[int], others: list, other_lows: list[int], out: np.ndarray) -> None:
+        size = np.arange(len(others)) - np.array(other_lows) + 1
+        at: dict = {}
+        for i, (label, low) in enumerate(zip(labels, lows, strict=True)):
+            if low == i:
+                if label not in at:
+                    n = np.concatenate(([0], np.cumsum([x == label for x in others])))
+                    at[label] = size - (n[1:] - n[np.array(other_lows)] > 0)
+                out[i] = at[label]
+
+    fill_in(la, lma, lb, lmb, dist)
+    fill_in(lb, lmb, la, lma, dist.T)
+    return dist.tolist()
+
+
+def _by_rows(dist: list[list[int]], la: list, lma: list[int], i: int, j: int, left: np.ndarray, lb_codes: np.ndarray, codes: dict) -> None:
+    """One pair of large subtrees, a row of the table at a time: f[x][y - 1] + 1 is a running minimum of f[x][y] - y."""
+    low, at = lma[i], int(left[j])
+    n = j - at + 2
+    steps = np.arange(n)
+    f = np.zeros((i - low + 2, n), np.int64)
+    f[0] = steps
+    whole = left[at : j + 1] == at
+    back = left[at : j + 1] - at
+    for x in range(1, i - low + 2):
+        p = x + low - 1
+        best = f[lma[p] - low][back] + dist[p][at : j + 1]
+        if lma[p] == low:
+            best = np.where(whole, f[x - 1, :-1] + (lb_codes[at : j + 1] != codes.get(la[p], -1)), best)
+        f[x, 0] = x
+        f[x, 1:] = np.minimum(f[x - 1, 1:] + 1, best)
+        f[x] = np.minimum.accumulate(f[x] - steps) + steps
+        if lma[p] == low:
+            own = dist[p]
+            for q in np.flatnonzero(whole):
+                own[at + q] = int(f[x, q + 1])
+
+
 def tree_score(a: list[tuple[str, int]], b: list[tuple[str, int]]) -> float:
     """1 for equal title trees, less by the edit distance over the greater number of titles; 0 at least."""
     return max(0.0, 1.0 - tree_distance(level_tree(a), level_tree(b)) / (max(len(a), len(b)) or 1))

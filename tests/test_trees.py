@@ -233,6 +233,37 @@ def test_tree_distance(a, b):
     assert 0.0 <= S.tree_score(a, b) <= 1.0
 
 
+def plain_distance(a, b):
+    """Distance of two forests by the recursive definition."""
+    from functools import cache
+
+    def forest(nodes):
+        labels, parents = S.level_tree(nodes)
+        make = lambda p: tuple((labels[i], make(i)) for i, q in enumerate(parents) if q == p)
+        return make(-1)
+
+    size = lambda f: sum(1 + size(k) for _, k in f)
+
+    @cache
+    def d(x, y):
+        if not x or not y:
+            return size(x) + size(y)
+        (u, ku), (v, kv) = x[-1], y[-1]
+        return min(d(x[:-1] + ku, y) + 1, d(x, y[:-1] + kv) + 1, d(ku, kv) + d(x[:-1], y[:-1]) + (u != v))
+
+    return d(forest(a), forest(b))
+
+
+@settings(max_examples=150, deadline=None)
+@given(titles, titles, st.sampled_from([-1, 48]))
+def test_tree_distance_by_definition(a, b, wide):
+    before, S.WIDE = S.WIDE, wide
+    try:
+        assert S.tree_distance(S.level_tree(a), S.level_tree(b)) == plain_distance(a, b)
+    finally:
+        S.WIDE = before
+
+
 def test_matching_is_one_to_one(spark):
     p = spark.createDataFrame([(1, 1, "g1", "m1", 0.9, 1.0, 1.0), (1, 1, "g1", "m2", 0.8, 1.0, 1.0), (1, 1, "g2", "m1", 0.7, 1.0, 1.0), (1, 1, "g2", "m2", 0.6, 0.1, 0.1), (1, 1, "g3", "m2", 0.5, 0.9, 0.1)], "doc_id long, page int, gt_id string, block_id string, score double, box double, text double")
     assert sorted((r.gt_id, r.block_id) for r in V.matched(p).collect()) == [("g1", "m1"), ("g3", "m2")]
