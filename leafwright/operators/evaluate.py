@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from leafwright.functions import bbox as B
 from leafwright.functions import similarity as S
 from leafwright.functions import text as X
+from leafwright.runtime import fold_sorted
 
 MODES = ("id_aware", "structure_only", "content_aware")
 
@@ -52,17 +53,20 @@ def matched(pairs: DataFrame) -> DataFrame:
     Pairs share a page, so every page is matched by itself; no task gets a whole document.
     """
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+    def step(rows: list[dict], r: dict | None) -> list[tuple] | None:
+        if r is not None:
+            rows.append(r)
+            return None
         left, right, keep = set(), set(), []
-        for i, r in enumerate(pdf.sort_values(["score", "gt_id", "block_id"], ascending=False, kind="stable").itertuples(index=False)):
-            if r.gt_id in left or r.block_id in right or (r.text < 0.45 and r.box < 0.8):
+        for x in sorted(rows, key=lambda x: (x["score"], x["gt_id"], x["block_id"]), reverse=True):
+            if x["gt_id"] in left or x["block_id"] in right or (x["text"] < 0.45 and x["box"] < 0.8):
                 continue
-            left.add(r.gt_id)
-            right.add(r.block_id)
-            keep.append((r.doc_id, r.gt_id, r.block_id, round(r.score, 4)))
-        return pd.DataFrame(keep, columns=["doc_id", "gt_id", "block_id", "score"])
+            left.add(x["gt_id"])
+            right.add(x["block_id"])
+            keep.append((x["doc_id"], x["gt_id"], x["block_id"], round(x["score"], 4)))
+        return keep
 
-    return pairs.groupBy("doc_id", "page").applyInPandas(one, "doc_id long, gt_id string, block_id string, score double")
+    return fold_sorted(pairs, ["doc_id", "page"], ["gt_id"], list, step, ["block_id", "score", "box", "text"], "doc_id long, gt_id string, block_id string, score double")
 
 
 def predicted_titles(matches: DataFrame, blocks: DataFrame) -> DataFrame:
