@@ -25,9 +25,24 @@ from leafwright.sources import sinks as SK
 CHUNK = 8
 
 
-def blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """The block table, each block once, in its latest delivery."""
-    return latest(table(spark, folder, "blocks"), ["block_key"], "loaded_at").withColumnRenamed("block_type", "type")
+#: What the stages on text need, and what trees need besides.
+TEXT = ("doc_id", "id", "page", "type", "content", "bbox")
+LINKS = ("level", "contd", "image", "source_label")
+TEXTUAL, TITLE, TABLE = "block_type IN ('text', 'list_item')", "block_type = 'title'", "block_type = 'table'"
+
+
+def blocks(spark: SparkSession, folder: str, *columns: str, where: str | None = None) -> DataFrame:
+    """The block table, each block once, in its latest delivery.
+
+    Only the columns asked for are read. A delivery repeats its fields, so `where` may go before the choice of the
+    latest and reaches the scan.
+    """
+    b = table(spark, folder, "blocks")
+    if where:
+        b = b.filter(where)
+    if columns:
+        b = b.select("block_key", "loaded_at", *["block_type" if c == "type" else c for c in columns if c != "block_key"])
+    return latest(b, ["block_key"], "loaded_at").withColumnsRenamed({"block_type": "type"})
 
 
 def _content(c: str = "content"):
@@ -35,89 +50,89 @@ def _content(c: str = "content"):
 
 
 def normalize_text(spark, folder):
-    return blocks(spark, folder).select("block_key", X.normalize_text(F.col("content")).alias("content"))
+    return blocks(spark, folder, "content").select("block_key", X.normalize_text(F.col("content")).alias("content"))
 
 
 def bbox_scale(spark, folder):
     box = B.to_unit(F.col("bbox"), 1000.0)
-    return blocks(spark, folder).select("block_key", *[F.round(box[i], 6).alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
+    return blocks(spark, folder, "bbox").select("block_key", *[F.round(box[i], 6).alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
 
 
 def bbox_thousandths(spark, folder):
-    return blocks(spark, folder).select("block_key", F.array_join(B.thousandths(B.four(F.col("bbox"))).cast("array<string>"), " ").alias("box"))
+    return blocks(spark, folder, "bbox").select("block_key", F.array_join(B.thousandths(B.four(F.col("bbox"))).cast("array<string>"), " ").alias("box"))
 
 
 def label_map(spark, folder):
     """Source labels under every vendor's table."""
-    b = blocks(spark, folder).filter("source_label is not null").select("source_label").distinct()
+    b = table(spark, folder, "blocks").filter("source_label is not null").select("source_label").distinct()
     vendors = spark.createDataFrame([(v,) for v in L.LABELS], "vendor string")
     return L.map_labels(b.join(F.broadcast(vendors), F.lit(True)), "vendor", "source_label").select("vendor", "source_label", "canonical", "sub_type", "label_level")
 
 
 def validate_blocks(spark, folder):
-    return N.invalid_blocks(blocks(spark, folder))
+    return N.invalid_blocks(blocks(spark, folder, "type", "bbox"))
 
 
 def block_order(spark, folder):
-    return N.numbered(blocks(spark, folder)).select("block_key", F.col("number").cast("bigint").alias("number"))
+    return N.numbered(blocks(spark, folder, "doc_id", "page", "block_order", "bbox")).select("block_key", F.col("number").cast("bigint").alias("number"))
 
 
 def sentence_head_tail(spark, folder):
-    b = blocks(spark, folder).filter("type in ('text', 'list_item')")
+    b = blocks(spark, folder, "content", where=TEXTUAL)
     return b.select("block_key", X.sentence_head(_content()).alias("head"), X.sentence_tail(_content()).alias("tail"), X.shortened(_content()).alias("short"))
 
 
 def merge_rule_flags(spark, folder):
-    b = blocks(spark, folder).filter("type in ('text', 'list_item')")
+    b = blocks(spark, folder, "content", where=TEXTUAL)
     return b.select("block_key", X.is_list_item(_content()).alias("list_item"), X.may_be_cut_off(_content()).alias("cut_off"), X.may_go_on(_content()).alias("goes_on"), X.starts_with_digit(_content()).alias("digit"))
 
 
 def truncation_candidates(spark, folder):
-    return C.truncation_pairs(blocks(spark, folder))
+    return C.truncation_pairs(blocks(spark, folder, "doc_id", "id", "type", "content"))
 
 
 def truncation_rows(spark, folder):
-    return C.truncation_rows(blocks(spark, folder)).select("doc_id", "ord", "idx", "page", F.array_join(F.col("box").cast("array<string>"), " ").alias("box"), "content")
+    return C.truncation_rows(blocks(spark, folder, *TEXT)).select("doc_id", "ord", "idx", "page", F.array_join(F.col("box").cast("array<string>"), " ").alias("box"), "content")
 
 
 def title_candidates(spark, folder):
-    return C.title_rows(blocks(spark, folder)).select("doc_id", "idx", "page", "content")
+    return C.title_rows(blocks(spark, folder, *TEXT, where=TITLE)).select("doc_id", "idx", "page", "content")
 
 
 def visual_candidates(spark, folder):
-    return C.visual_rows(blocks(spark, folder)).select("doc_id", "idx", "type", "page", "content")
+    return C.visual_rows(blocks(spark, folder, *TEXT)).select("doc_id", "idx", "type", "page", "content")
 
 
 def containment_links(spark, folder):
     """With tables as the large blocks, which the test data has."""
-    return C.containment_links(blocks(spark, folder), ("table", "image_block"), ("image_caption", "table_caption", "image"))
+    return C.containment_links(blocks(spark, folder, "doc_id", "id", "type", "bbox"), ("table", "image_block"), ("image_caption", "table_caption", "image"))
 
 
 def table_pairs(spark, folder):
-    return C.table_pairs(blocks(spark, folder))
+    return C.table_pairs(blocks(spark, folder, "doc_id", "id", "page", "type", where=TABLE))
 
 
 def table_screen(spark, folder):
-    return C.screened_pairs(blocks(spark, folder)).select("doc_id", "upper_idx", "lower_idx", F.coalesce("reason", F.lit("passed")).alias("reason"))
+    return C.screened_pairs(blocks(spark, folder, *TEXT)).select("doc_id", "upper_idx", "lower_idx", F.coalesce("reason", F.lit("passed")).alias("reason"))
 
 
 def chunk_ranges(spark, folder):
-    return CH.chunk_ranges(C.title_rows(blocks(spark, folder)), CHUNK)
+    return CH.chunk_ranges(C.title_rows(blocks(spark, folder, *TEXT, where=TITLE)), CHUNK)
 
 
 def chunk_items(spark, folder):
-    rows = C.title_rows(blocks(spark, folder))
+    rows = C.title_rows(blocks(spark, folder, *TEXT, where=TITLE))
     return CH.chunk_items(rows, CH.chunk_ranges(rows, CHUNK)).select("doc_id", "chunk_no", "idx", "page")
 
 
 def _requests(spark, folder, task):
-    b = blocks(spark, folder)
+    b = blocks(spark, folder, *TEXT, where=TITLE if task == "title" else None)
     rows = {"title": C.title_rows, "contd": C.truncation_rows, "image": C.visual_rows}[task](b)
     return P.prompts(CH.chunk_items(rows, CH.chunk_ranges(rows, CHUNK)), task)
 
 
 def prompt_text(spark, folder):
-    rows = C.title_rows(blocks(spark, folder))
+    rows = C.title_rows(blocks(spark, folder, *TEXT, where=TITLE))
     return P.prompts(rows.withColumn("chunk_no", F.lit(0)), "title").select("doc_id", "prompt")
 
 
@@ -140,71 +155,71 @@ def level_sync(spark, folder):
 def apply_links(spark, folder):
     contd = LK.distinct_links(P.parsed_links(_answers(spark, folder, "contd")))
     images = LK.distinct_links(P.parsed_links(_answers(spark, folder, "image")))
-    out = LK.linked_blocks(blocks(spark, folder), contd, level_sync(spark, folder), images)
+    out = LK.linked_blocks(blocks(spark, folder, "doc_id", "id"), contd, level_sync(spark, folder), images)
     return out.select("block_key", "contd", "level", "image")
 
 
 def table_cells(spark, folder):
-    t = blocks(spark, folder).filter("type = 'table'")
+    t = blocks(spark, folder, "doc_id", "id", "content", where=TABLE)
     return TB.table_cells(t).select("doc_id", "id", "row", "cell", "col", "text")
 
 
 def table_shapes(spark, folder):
-    t = blocks(spark, folder).filter("type = 'table'")
+    t = blocks(spark, folder, "doc_id", "id", "content", where=TABLE)
     return TB.table_shapes(TB.table_cells(t)).select("doc_id", "id", F.col("n_rows").cast("bigint").alias("n_rows"), "n_cells", F.col("n_cols").cast("bigint").alias("n_cols"))
 
 
 def _table_ids(spark, folder):
-    return C.table_pairs(blocks(spark, folder)).select("doc_id", (F.col("upper_idx") + 1).alias("upper_id"), (F.col("lower_idx") + 1).alias("lower_id"))
+    return C.table_pairs(blocks(spark, folder, "doc_id", "id", "page", "type", where=TABLE)).select("doc_id", (F.col("upper_idx") + 1).alias("upper_id"), (F.col("lower_idx") + 1).alias("lower_id"))
 
 
 def table_header_rows(spark, folder):
-    t = blocks(spark, folder).filter("type = 'table'")
+    t = blocks(spark, folder, "doc_id", "id", "content", where=TABLE)
     return TB.header_rows(_table_ids(spark, folder), TB.table_cells(t))
 
 
 def table_merge(spark, folder):
     """All tables on consecutive pages are taken as pairs, so that chains occur."""
-    b = blocks(spark, folder)
+    b = blocks(spark, folder, "doc_id", "id", "page", "type", "content", where=TABLE)
     pairs = C.table_pairs(b).withColumn("cells", F.array(F.lit(0)))
     return TB.merged_tables(LK.merged_pairs(b, pairs)).select("doc_id", "head_id", "content", F.array_join(F.col("member_ids").cast("array<string>"), ",").alias("members"))
 
 
 def text_components(spark, folder):
-    return TR.text_components(blocks(spark, folder)).select("doc_id", "comp_id", "title", "content", "level", F.array_join(F.col("block_ids").cast("array<string>"), ",").alias("block_ids"))
+    return TR.text_components(blocks(spark, folder, *TEXT, *LINKS)).select("doc_id", "comp_id", "title", "content", "level", F.array_join(F.col("block_ids").cast("array<string>"), ",").alias("block_ids"))
 
 
 def tree_parents(spark, folder):
-    return TR.parents(TR.text_components(blocks(spark, folder))).select("doc_id", "comp_id", "parent_id")
+    return TR.parents(TR.text_components(blocks(spark, folder, *TEXT, *LINKS))).select("doc_id", "comp_id", "parent_id")
 
 
 def tree_visuals(spark, folder):
-    return TR.visual_components(blocks(spark, folder)).select("doc_id", "vis_id", "type", "title", "metadata", "link", F.array_join(F.col("block_ids").cast("array<string>"), ",").alias("block_ids"))
+    return TR.visual_components(blocks(spark, folder, *TEXT, *LINKS)).select("doc_id", "vis_id", "type", "title", "metadata", "link", F.array_join(F.col("block_ids").cast("array<string>"), ",").alias("block_ids"))
 
 
 def tree_attached(spark, folder):
-    b = blocks(spark, folder)
+    b = blocks(spark, folder, *TEXT, *LINKS)
     return TR.attached_visuals(b, TR.text_components(b), TR.visual_components(b))
 
 
 def tree_supplements(spark, folder):
-    return TR.supplements(blocks(spark, folder)).select("doc_id", "id", "type", "title", "content")
+    return TR.supplements(blocks(spark, folder, "doc_id", "id", "page", "type", "content", "level", "source_label")).select("doc_id", "id", "type", "title", "content")
 
 
 def tree_preview(spark, folder):
-    return TR.preview(TR.tree(blocks(spark, folder)))
+    return TR.preview(TR.tree(blocks(spark, folder, *TEXT, *LINKS)))
 
 
 def tree_json(spark, folder):
-    return SK.tree_json(TR.tree(blocks(spark, folder)))
+    return SK.tree_json(TR.tree(blocks(spark, folder, *TEXT, *LINKS)))
 
 
 def relations(spark, folder):
-    return K.relations(blocks(spark, folder))
+    return K.relations(blocks(spark, folder, "doc_id", "id", "type", "contd", "image", "level"))
 
 
 def relation_records(spark, folder):
-    return K.relation_records(K.relations(blocks(spark, folder)))
+    return K.relation_records(relations(spark, folder))
 
 
 def subnode_split(spark, folder):
@@ -213,22 +228,22 @@ def subnode_split(spark, folder):
 
 
 def title_linking(spark, folder):
-    return LK.title_links(blocks(spark, folder)).select("doc_id", F.col("idx").cast("bigint").alias("idx"), F.col("to_idx").cast("bigint").alias("to_idx"))
+    return LK.title_links(blocks(spark, folder, "doc_id", "id", "type", "level")).select("doc_id", F.col("idx").cast("bigint").alias("idx"), F.col("to_idx").cast("bigint").alias("to_idx"))
 
 
 def level_marks(spark, folder):
-    return K.level_marks(blocks(spark, folder)).select("doc_id", "id", "type", "marked")
+    return K.level_marks(blocks(spark, folder, "doc_id", "id", "type", "content", "level")).select("doc_id", "id", "type", "marked")
 
 
 def training_cases(spark, folder):
-    b = blocks(spark, folder)
-    labels = b.filter("type = 'title' and level >= 0").select("doc_id", (F.col("id") - 1).alias("idx"), "level")
+    b = blocks(spark, folder, *TEXT, "level", where=TITLE)
+    labels = b.filter("level >= 0").select("doc_id", (F.col("id") - 1).alias("idx"), "level")
     return K.cases(C.title_rows(b), labels, "title").select("doc_id", "case")
 
 
 def _truth(spark, folder):
     """Truth made from the blocks: titles asked for as a request, boxes and levels moved a little."""
-    b = blocks(spark, folder).filter("type = 'title'").withColumn("bbox", F.transform(B.to_unit(F.col("bbox"), 1000.0), lambda v: v * F.lit(0.98)))
+    b = blocks(spark, folder, *TEXT, "level", where=TITLE).withColumn("bbox", F.transform(B.to_unit(F.col("bbox"), 1000.0), lambda v: v * F.lit(0.98)))
     asked = P.prompts(C.title_rows(b, 200).withColumn("chunk_no", F.lit(0)), "title").select("doc_id", "prompt")
     line = F.concat(F.lit("<|id|>"), F.col("id") - 1, F.lit("<|level|>"), F.greatest(F.coalesce("level", F.lit(1)), F.lit(1)) + F.when(F.col("id") % 5 == 0, 1).otherwise(0))
     answers = b.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))).alias("x")).select("doc_id", F.array_join(F.transform("x", lambda v: v["line"]), "\n").alias("label"))
@@ -241,7 +256,7 @@ def gt_parse(spark, folder):
 
 def _aligned(spark, folder):
     truth = V.truth_titles(_truth(spark, folder))
-    mine = blocks(spark, folder).filter("type = 'title'").withColumn("bbox", F.transform(B.to_unit(F.col("bbox"), 1000.0), lambda v: v * 1000.0))
+    mine = blocks(spark, folder, *TEXT, "block_id", "title_level", where=TITLE).withColumn("bbox", F.transform(B.to_unit(F.col("bbox"), 1000.0), lambda v: v * 1000.0))
     return truth, mine, V.alignment(truth, mine)
 
 
@@ -287,7 +302,7 @@ def doc_ids(spark, folder):
 
 
 def interchange_pages(spark, folder):
-    b = N.numbered(blocks(spark, folder))
+    b = N.numbered(blocks(spark, folder, *TEXT, "block_order", "block_id", "title_level", "source_label"))
     return N.interchange(b)
 
 

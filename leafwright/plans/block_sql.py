@@ -194,6 +194,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, upper_id, lower_id, coalesce(min(CASE WHEN NOT same THEN row_ END), max(row_) + 1)::INT AS n_header FROM j GROUP BY ALL""",
         "relations": f"""WITH {B} SELECT doc_id, 'contd' AS kind, id AS src, contd AS tgt FROM b WHERE contd >= 0 UNION ALL SELECT doc_id, 'image', id, image FROM b WHERE image >= 0
             UNION ALL SELECT doc_id, 'title', id, level FROM b WHERE type = 'title' AND level >= 0""",
+        "relation_records": f"""WITH {B}, x AS (SELECT doc_id, 'contd' AS kind, id AS src, contd AS tgt FROM b WHERE contd >= 0 UNION ALL SELECT doc_id, 'image', id, image FROM b WHERE image >= 0
+            UNION ALL SELECT doc_id, 'title', id, level FROM b WHERE type = 'title' AND level >= 0), y AS (SELECT doc_id, kind, string_agg('[' || src || ',' || tgt || ']', ',' ORDER BY src, tgt) AS p FROM x GROUP BY ALL)
+            SELECT doc_id, '{{' || string_agg('"' || kind || '":[' || p || ']', ',' ORDER BY kind) || '}}' AS record FROM y GROUP BY doc_id""",
         "subnode_split": f"""WITH RECURSIVE n AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY node_key ORDER BY loaded_at DESC) AS rn FROM sub_com_trees) WHERE rn = 1 AND node_type = 'text' AND length(content) > 500),
             s AS (SELECT node_key, coalesce(title, '{TR.DEFAULT_TITLE}') AS title, block_ids, list_filter(string_split_regex(content, {_q(_MARKS)}), lambda x: x <> '') AS segs FROM n),
             g(node_key, i, sub, acc) AS (SELECT node_key, 1, 1, segs[1] FROM s
