@@ -114,6 +114,8 @@ def _area(p: str) -> str:
 
 
 _BOTH = "(greatest(0.0::DOUBLE, least(a3, b3) - greatest(a1, b1)) * greatest(0.0::DOUBLE, least(a4, b4) - greatest(a2, b2)))"
+_VISUAL = f"""t AS (SELECT doc_id, id - 1 AS idx, page, {_folded('type')} AS kind FROM b WHERE type IN {_in(C.VISUAL)})"""
+_IN = "JOIN ranges ON ranges.doc_id = t.doc_id AND page BETWEEN start_ AND end_"
 _LABELS = ", ".join(f"({_q(v)}, {_q(lab)}, {_q(c)}, {_q(s)})" for v, lab, c, s in L.label_rows())
 
 
@@ -173,6 +175,18 @@ def oracle_sql() -> dict[str, str]:
         "chunk_items": f"WITH RECURSIVE {B}, {TITLES}, {RANGES} SELECT t.doc_id, chunk_no, idx, page FROM t JOIN ranges ON ranges.doc_id = t.doc_id AND page BETWEEN start_ AND end_",
         "prompt_text": f"""WITH {B}, {TITLES} SELECT doc_id, 'Title Level Analysis: ' || string_agg('<|id|>' || idx || '<|page|>' || page || '<|box|>' || box || '<|content|>' || content, chr(10) ORDER BY page, idx) AS prompt FROM t GROUP BY doc_id""",
         "parse_levels": f"""WITH RECURSIVE {B}, {TITLES}, {RANGES} SELECT t.doc_id, chunk_no, idx, 1 + idx % 4 AS level FROM t JOIN ranges ON ranges.doc_id = t.doc_id AND page BETWEEN start_ AND end_ WHERE idx % 7 <> 0""",
+        # the rule model gives a title the same level in every chunk, so that the common scale is its own
+        "level_sync": f"WITH RECURSIVE {B}, {TITLES}, {RANGES} SELECT DISTINCT t.doc_id, idx, 1 + idx % 4 AS level FROM t {_IN} WHERE idx % 7 <> 0",
+        "apply_links": f"""WITH {B}, cl AS (WITH RECURSIVE {TRUNCATED}, {RANGES}, x AS (SELECT t.doc_id, chunk_no, idx AS src, lead(idx) OVER w AS tgt, row_number() OVER w AS pos FROM t {_IN} WINDOW w AS (PARTITION BY t.doc_id, chunk_no ORDER BY page, ord))
+                SELECT doc_id, src, tgt, min(chunk_no * 1000000 + pos) AS o FROM x WHERE (src + tgt) % 3 = 0 GROUP BY ALL),
+            ll AS (WITH RECURSIVE {TITLES}, {RANGES} SELECT DISTINCT t.doc_id, idx, 1 + idx % 4 AS level FROM t {_IN} WHERE idx % 7 <> 0),
+            il AS (WITH RECURSIVE {_VISUAL}, {RANGES}, x AS (SELECT t.doc_id, chunk_no, idx, kind, last_value(CASE WHEN kind = 'title' THEN idx END IGNORE NULLS) OVER w AS tgt, row_number() OVER w AS pos FROM t {_IN}
+                WINDOW w AS (PARTITION BY t.doc_id, chunk_no ORDER BY page, idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT doc_id, idx AS src, tgt, min(chunk_no * 1000000 + pos) AS o FROM x WHERE kind <> 'title' AND tgt IS NOT NULL GROUP BY ALL),
+            c AS (SELECT doc_id, src, arg_max(tgt, o) + 1 AS v FROM cl GROUP BY ALL), i AS (SELECT doc_id, src, arg_max(tgt, o) + 1 AS v FROM il GROUP BY ALL)
+            SELECT block_key, coalesce(c.v, -1) AS contd, coalesce(ll.level, -1) AS level, coalesce(i.v, -1) AS image FROM b LEFT JOIN c ON c.doc_id = b.doc_id AND c.src = b.id - 1 LEFT JOIN i ON i.doc_id = b.doc_id AND i.src = b.id - 1 LEFT JOIN ll ON ll.doc_id = b.doc_id AND ll.idx = b.id - 1""",
+        "training_cases": f"""WITH {B}, {TITLES}, q AS (SELECT doc_id, '<image>' || chr(10) || 'Title Level Analysis: ' || string_agg('<|id|>' || idx || '<|page|>' || page || '<|box|>' || box || '<|content|>' || content, chr(10) ORDER BY page, idx) AS human FROM t GROUP BY doc_id),
+            a AS (SELECT doc_id, string_agg('<|id|>' || (id - 1) || '<|level|>' || level, chr(10) ORDER BY id) AS gpt FROM b WHERE type = 'title' AND level >= 0 GROUP BY doc_id)
+            SELECT q.doc_id, '{{"image":"","conversations":[{{"from":"human","value":' || to_json(human)::VARCHAR || '}},{{"from":"gpt","value":' || to_json(coalesce(gpt, ''))::VARCHAR || '}}],"type":"grounding"}}' AS "case" FROM q LEFT JOIN a ON a.doc_id = q.doc_id""",
         "table_shapes": f"""WITH {B}, h AS (SELECT doc_id, id, (length(txt) - length(replace(txt, '<tr>', ''))) / 4 AS r, (length(txt) - length(replace(replace(txt, '<td', ''), '<th', ''))) / 3 AS c FROM b WHERE type = 'table')
             SELECT doc_id, id, r::BIGINT AS n_rows, c::BIGINT AS n_cells, (c / r)::BIGINT AS n_cols FROM h WHERE c > 0""",
         "text_components": f"WITH {B}, {R}, {COMPS} SELECT * FROM comps",

@@ -208,6 +208,35 @@ def test_header_rows(spark):
     assert {(r.id, r.row): r.effective for r in TB.row_shapes(cells).collect()}[1, 2] == 2
 
 
+def screened(spark, upper, lower, widths=(1.0, 1.0), after=(), before=()):
+    """Reason for one pair: blocks before and after the tables on their pages, given as (type, content)."""
+    rows, i = [], 0
+    for page, parts in ((1, [*upper, ("table", "<t>"), *after]), (2, [*before, *lower, ("table", "<t>")])):
+        for kind, text in parts:
+            i += 1
+            rows.append((1, i, page, kind, text, [0.0, 0.0, widths[page - 1], 1.0], -1, -1, -1, None))
+    return C.screened_pairs(spark.createDataFrame(rows, BLOCK)).first().reason
+
+
+@pytest.mark.parametrize("args, want", [
+    (dict(upper=[], lower=[]), None),
+    (dict(upper=[("table_caption", "Table 1. x")], lower=[]), None),
+    (dict(upper=[], lower=[], after=[("text", "t")]), "text after upper table"),
+    (dict(upper=[], lower=[], before=[("list_item", "t")]), "text before lower table"),
+    (dict(upper=[("image", "")], lower=[("table_caption", "Table 2")]), "caption of lower table only"),
+    (dict(upper=[("table_caption", "Table 1")], lower=[("table_caption", "Table 2 (continued)")]), "captions differ"),
+    (dict(upper=[("table_caption", "Table 1")], lower=[("table_caption", "Table 1")]), "no mark of continuation"),
+    (dict(upper=[("table_caption", "Table 1")], lower=[("table_caption", "Table 1（续）")]), None),
+    (dict(upper=[("title", "Prices")], lower=[("title", "prices (cont.)")]), None),
+    (dict(upper=[("table_caption", "表 A-1")], lower=[("table_caption", "表A1 续表")]), None),
+    (dict(upper=[], lower=[], after=[("table_footnote", "n")]), "footnotes"),
+    (dict(upper=[], lower=[], widths=(1.0, 0.8)), "widths differ"),
+    (dict(upper=[], lower=[], widths=(0.0, 0.8)), None),
+])
+def test_screening(spark, args, want):
+    assert screened(spark, **args) == want
+
+
 def test_subnodes(spark):
     long = "<|txt_split|>".join(["a" * 300, "b" * 300, "c" * 10])
     n = spark.createDataFrame([(1, "x", "text", "T", long, [1, 2, 3, 4]), (1, "y", "text", TR.DEFAULT_TITLE, long, [2, 3, 4]), (1, "z", "text", "T", "d" * 600, [1, 2]), (1, "w", "table", "T", long, None)], "doc_id long, node string, type string, title string, content string, block_ids array<int>")
