@@ -35,3 +35,10 @@ def test_query(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).columns == ["doc_id", "path", "line"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_scans_are_pruned(spark):
+    plan = registry.core_queries()["title_candidates"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(block_type,title)" in plan
+    read = {c.split("#")[0] for c in plan.split("FileScan parquet [")[1].split("]")[0].split(",")}
+    assert read == {"block_key", "doc_id", "id", "page", "bbox", "block_type", "content", "loaded_at"}
