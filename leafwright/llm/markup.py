@@ -17,7 +17,8 @@ from html import unescape
 from html.entities import html5
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Element names of HTML.
@@ -41,7 +42,7 @@ _REFERENCES = {"cite", "ref", "label", "citep", "citet", "eqref", "pageref", "in
 
 _SEGMENT = re.compile(r"<\|txt_(?:split|contd)\|>")
 #: A cheap test that a text may hold markup; everything the grammar below starts with is in it.
-MAYBE = r"[<&\\$#*_`\[{=|>]|''|(?m:^[ \t]*[-+][ \t])|(?m:^-{3,}\s*$)"
+MAYBE = r"[<&\\$#*_`\[{=|>]|''|~~|(?m:^[ \t]*[-+][ \t])|(?m:^-{3,}\s*$)"
 _RAW_FORMULA = re.compile(r"\\(?:frac|sum|int|prod|leq|geq|sqrt|cdot|times|alpha|beta|gamma|lim|infty)(?![a-zA-Z])|[_^]\{")
 _PROSE_WORD = re.compile(r"(?<![\\a-zA-Z])[^\W\d_]{4,}|[。，]")
 _NAMES = "|".join(sorted(HTML_TAGS, key=len, reverse=True))
@@ -79,7 +80,8 @@ _GRAMMAR = re.compile(
 #: Where the grammar can start; it is tried there only.
 _START = re.compile(r"[<&\\$*_`{\[~]|!\[|''|^[ \t]*+[#>=|+*-]", re.MULTILINE)
 _START_UNDERLINED = re.compile(_START.pattern + r"|^(?=[^\n]++\n(?:={3,}|-{3,})[ \t]*\r?$)", re.MULTILINE)
-_PUNCT = re.compile(r"[.,;:!?。，；：！？]")
+_PUNCT_MARKS = ".,;:!?。，；：！？"
+_PUNCT = re.compile(f"[{_PUNCT_MARKS}]")
 
 
 _RULES = {k for k in _GRAMMAR.groupindex if k.startswith(("html_", "md_", "latex_", "wiki_"))}
@@ -256,13 +258,19 @@ def path_ratios(nodes: DataFrame) -> DataFrame:
 
 
 def path_counts(records: DataFrame) -> DataFrame:
-    """path, n, chars, punct of all records (text), combined per task."""
+    """path, n, chars, punct of all records (text), combined per task.
+
+    A record without markup is one node "text"; its numbers are taken in the JVM, and its text stays there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
         for b in batches:
-            for t in b.column("text").to_pylist():
-                for n in read_nodes(t or ""):
+            plain = [pc.sum(b.column(c)).as_py() or 0 for c in ("n", "chars", "punct")]
+            if plain[0]:
+                sums["text"] = [x + y for x, y in zip(sums["text"], plain, strict=True)]
+            for t in pc.drop_null(b.column("text")).to_pylist():
+                for n in read_nodes(t):
                     if n.kind != "mark":
                         s = sums[n.path]
                         s[0] += 1
@@ -270,7 +278,10 @@ def path_counts(records: DataFrame) -> DataFrame:
                         s[2] += len(_PUNCT.findall(n.text))
         yield pa.RecordBatch.from_pydict({"path": pa.array(list(sums), pa.string()), **{c: pa.array([v[i] for v in sums.values()], pa.int64()) for i, c in enumerate(("n", "chars", "punct"))}})
 
-    return records.select("text").mapInArrow(run, "path string, n long, chars long, punct long")
+    text, plain = F.col("text"), ~maybe() & (F.col("text") != "")
+    signs = F.length(text) - F.length(F.translate(text, _PUNCT_MARKS, ""))
+    src = records.select(F.when(maybe(), text).alias("text"), *[F.when(plain, x).cast("long").alias(c) for c, x in (("n", F.lit(1)), ("chars", F.length(text)), ("punct", signs))])
+    return src.mapInArrow(run, "path string, n long, chars long, punct long")
 
 
 def scored_paths(ratios: DataFrame, weight: float = 5.0, cutoff: float = 0.5) -> DataFrame:
@@ -289,9 +300,14 @@ def scored_paths(ratios: DataFrame, weight: float = 5.0, cutoff: float = 0.5) ->
     return s.crossJoin(F.broadcast(spread)).select("path", "n_nodes", "score", ((F.col("score") >= cutoff * F.col("spread")) | (F.col("path") == "text")).alias("content"))
 
 
+def maybe() -> Column:
+    """Whether the column text may hold markup; if not, the record is one node "text"."""
+    return F.col("text").rlike(MAYBE)
+
+
 def marked_up(records: DataFrame) -> DataFrame:
     """Records (rec_key, text) that may hold markup; null and empty texts do not."""
-    return records.filter(F.col("text").rlike(MAYBE))
+    return records.filter(maybe())
 
 
 def markup_formats(records: DataFrame) -> DataFrame:
@@ -310,19 +326,23 @@ def markup_formats(records: DataFrame) -> DataFrame:
 
 
 def cleaned(records: DataFrame) -> DataFrame:
-    """rec_key, clean: the clean text of every record that may hold markup.
+    """rec_key, clean: the clean text of every record with a text; one without markup comes back as it is.
 
     The residue paths are a set of path names, bounded by the grammar's nesting, not by the number of records.
     """
-    may = marked_up(records).select("rec_key", "text")
-    residue = {r[0] for r in scored_paths(path_ratios(path_counts(may))).filter("not content").select("path").collect()}
+    residue = {r[0] for r in scored_paths(path_ratios(path_counts(records))).filter("not content").select("path").collect()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [clean_text(read_nodes(t), residue) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("rec_key"), pa.array(texts, pa.string())], ["rec_key", "clean"])
+    def clean(text: str) -> str:
+        nodes = read_nodes(text)
+        return text if [n.path for n in nodes] == ["text"] else clean_text(nodes, residue)
+
+    @F.arrow_udf("string")
+    def _clean(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else clean(t) for t in texts.to_pylist()], pa.string())
 
-    return may.mapInArrow(run, "rec_key string, clean string").dropDuplicates(["rec_key"])
+    # a text without markup is no argument, so it does not travel to Python
+    out = records.filter("text <> ''").select("rec_key", F.coalesce(_clean(F.when(maybe(), F.col("text"))), "text").alias("clean"))
+    return out.dropDuplicates(["rec_key"])
 
 
 def count_formats(texts: Iterator[str]) -> Counter:

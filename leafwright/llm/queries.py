@@ -50,7 +50,7 @@ def p5_clean(spark, folder):
 
 def p5_paths(spark, folder):
     r = records.text_records(table(spark, folder, "blocks"), table(spark, folder, "trees"))
-    return markup.scored_paths(markup.path_ratios(markup.path_counts(markup.marked_up(r))))
+    return markup.scored_paths(markup.path_ratios(markup.path_counts(r)))
 
 
 def p7_found(spark, folder):

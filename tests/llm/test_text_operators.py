@@ -1,5 +1,6 @@
 import json
 import random
+import re
 import unicodedata
 
 import pytest
@@ -173,6 +174,28 @@ def test_markup_records(spark):
     assert markup.cleaned(r.limit(0)).count() == 0
 
 
+def test_plain_records_count_and_come_back(spark):
+    texts = {"a": "plain words, here. Yes!", "b": " kept \n\n\n as it is ", "c": "x <b>y</b>\n\n\n\nz", "d": "a & b \n\n\n c ", "e": "", "f": None, "g": "one<|txt_split|>two", "h": "~~gone~~"}
+    r = spark.createDataFrame([*texts.items(), ("a", texts["a"])], "rec_key string, text string")
+    got = {x.rec_key: x.clean for x in markup.cleaned(r).collect()}
+    assert got == {**{k: texts[k] for k in "abd"}, "c": "x y\n\nz", "g": "one\n\ntwo", "h": "gone"}
+    want: dict = {}
+    for t in [*texts.values(), texts["a"]]:
+        for n in markup.read_nodes(t or ""):
+            if n.kind != "mark":
+                x = want.setdefault(n.path, [0, 0, 0])
+                x[:] = x[0] + 1, x[1] + len(n.text), x[2] + sum(c in ".,;:!?。，；：！？" for c in n.text)
+    sums = {x.path: [x.n, x.chars, x.punct] for x in markup.path_counts(r).groupBy("path").agg(*[F.sum(c).alias(c) for c in ("n", "chars", "punct")]).collect()}
+    assert sums == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab<>/&;#*_`[](){}|=\\$'-+\n ~!^", max_size=40))
+def test_the_cheap_test_misses_no_markup(text):
+    nodes = markup.read_nodes(text)
+    assert re.search(markup.MAYBE, text) or not text or nodes == [markup.Node("text", "text", text)]
+
+
 # problem 6
 
 
