@@ -287,13 +287,16 @@ def path_counts(records: DataFrame) -> DataFrame:
 def scored_paths(ratios: DataFrame, weight: float = 5.0, cutoff: float = 0.5) -> DataFrame:
     """path, score, content: smoothed and fused ratios, and whether the path is content.
 
-    Smoothing draws a path with few nodes towards its parent path: (n * own + weight * parent) / (n + weight).
+    Smoothing draws a path with few nodes towards its parent, the nearest path above it that has nodes (names of
+    formats have none, nor have lists without a text of their own): (n * own + weight * parent) / (n + weight).
     The score is the geometric mean of text and punctuation ratio; paths below cutoff deviations of all
     scores are residue. Plain text is content in any case.
     """
-    own = ratios.withColumn("parent", F.regexp_replace("path", "/[^/]*$", ""))
+    names = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(0), F.size(names) - 1), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(names, 1, i), "/").alias("parent")))
     up = ratios.select(F.col("path").alias("parent"), F.col("text_ratio").alias("pt"), F.col("punct_ratio").alias("pp"))
-    s = own.join(up, "parent", "left")
+    near = ratios.select("path", F.explode(above).alias("a")).select("path", "a.*").join(up, "parent").groupBy("path").agg(F.max_by(F.struct("pt", "pp"), "depth").alias("up"))
+    s = ratios.join(near, "path", "left").select("*", "up.*")
     mix = lambda a, b: (F.col("n_nodes") * F.col(a) + F.lit(weight) * F.coalesce(b, a)) / (F.col("n_nodes") + weight)
     s = s.select("path", "n_nodes", F.sqrt(mix("text_ratio", "pt") * (1 + mix("punct_ratio", "pp"))).alias("score"))
     spread = s.agg(F.coalesce(F.stddev_pop("score"), F.lit(0.0)).alias("spread"))

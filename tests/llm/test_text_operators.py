@@ -189,6 +189,19 @@ def test_plain_records_count_and_come_back(spark):
     assert sums == want
 
 
+def test_rare_paths_move_towards_the_nearest_path_above(spark):
+    rows = [("text", 1000, 90.0, 2.0), ("text/latex/footnote", 1, 1.0, 0.0), ("text/latex/footnote/markdown/emphasis", 2, 8.0, 0.0), ("text/markdown/table", 3, 2.0, 0.0), ("text/html/table/tr/td", 1, 4.0, 1.0), ("text/wiki/template", 10_000, 3.0, 0.0)]
+    got = {r.path: r for r in markup.scored_paths(spark.createDataFrame(rows, "path string, n_nodes long, text_ratio double, punct_ratio double")).collect()}
+    up = {"text/latex/footnote": "text", "text/latex/footnote/markdown/emphasis": "text/latex/footnote", "text/markdown/table": "text", "text/html/table/tr/td": "text", "text/wiki/template": "text"}
+    own = {r[0]: r[1:] for r in rows}
+    assert set(got) == set(own)
+    for path, (n, t, p) in own.items():
+        _, pt, pp = own[up.get(path, path)]
+        assert got[path].score == pytest.approx((((n * t + 5 * pt) / (n + 5)) * (1 + (n * p + 5 * pp) / (n + 5))) ** 0.5)
+    assert got["text/latex/footnote"].content and not got["text/wiki/template"].content
+    assert markup.scored_paths(spark.createDataFrame(rows[:0], "path string, n_nodes long, text_ratio double, punct_ratio double")).count() == 0
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("ab<>/&;#*_`[](){}|=\\$'-+\n ~!^", max_size=40))
 def test_the_cheap_test_misses_no_markup(text):
