@@ -3,6 +3,7 @@
 Message templates are mined from short lines with a prefix tree of fixed depth: line length, first tokens one
 by one, then templates of that leaf, joined by similarity with a wildcard where they differ. Tasks mine their own
 lines, equal templates are combined, each template is classified once, and the verdicts go back to all lines.
+Longer lines are classified sentence by sentence, as far as that can still make the document residue.
 Apart from that, ordinary records are searched for unresolved slots and for filler words. A document is residue if
 it has a slot or filler where content should be, or if nothing but messages and page furniture is left of it.
 """
@@ -54,7 +55,7 @@ SCRIPTS = re.compile(
 #: Filler in place of a text or heading.
 FILLERS = re.compile(
     r"""(?x)
-    ^(?:x{3,}[\s.]*){2,}$ | ^(?:asdf[\s.]*){2,}$ | ^(?:tbd[\s.,]*){2,}$ | ^(?:todo[\s.,]*){2,}$ | ^(?:bla[\s.,]*){3,}$ | ^(?:foo\s+bar[\s.]*)+$ | ^(?:test[\s.,]*){3,}$
+    ^x{3,}(?:[\s.]+x{3,})+[\s.]*$ | ^x{6,}[\s.]*$ | ^(?:asdf[\s.]*){2,}$ | ^(?:tbd[\s.,]*){2,}$ | ^(?:todo[\s.,]*){2,}$ | ^(?:bla[\s.,]*){3,}$ | ^(?:foo\s+bar[\s.]*)+$ | ^(?:test[\s.,]*){3,}$
   | ^(?:your\s+)?text\s+goes\s+here | ^replace\s+this\s+(?:paragraph|text|section) | ^(?:insert|enter|type|add)\s+(?:your\s+)?(?:text|title|content|heading)\s+here | ^describe\s+the\s+\S+\s+in\s+(?:two|three|a\s+few|\d|\#)\s+sentences | ^(?:sample|example|dummy)\s+(?:heading|title|text)\.?$ | ^placeholder(?:\s+text)?\.?$ | ^(?:heading|title)\s+goes\s+here
   | ^hier\s+(?:steht|kommt)\s+ihr\s+text | ^beispiel(?:überschrift|titel|text)\.?$ | ^(?:blindtext|platzhalter(?:text)?)\.?$ | ^titre\s+d['’]exemple | ^saisissez\s+votre\s+texte | ^votre\s+texte\s+ici | ^texte\s+d['’]exemple | ^título\s+de\s+ejemplo | ^escriba\s+aquí | ^texto\s+de\s+(?:ejemplo|relleno) | ^введите\s+(?:здесь\s+)?(?:ваш\s+)?текст | ^(?:пример|образец)\s+(?:заголовка|текста)\.?$ | ^请在此处?输入 | ^示例(?:标题|文本|正文) | ^此处(?:填写|输入)
     """
@@ -69,6 +70,8 @@ FURNITURE = re.compile(
 DUMMY_WORDS = frozenset(
     "lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum mollis".split()
 )
+#: Those of them that are no common words elsewhere, nor parts of such ones (official, temporary, minimum).
+_TELLING = tuple(sorted(w for w in DUMMY_WORDS if len(w) > 4 and w not in ("officia", "tempor", "minim")))
 _NAME = r"[^\W\d]\w*(?:[.\-]\w+)*"
 #: Slots that nothing else looks like, and slots whose name must look like one.
 STRONG_SLOT = re.compile(rf"(?=[{{$\[<%@_])(?:\{{\{{\s*{_NAME}\s*\}}\}}|\$\{{\s*{_NAME}\s*\}}|\[(?:INSERT|insert|Insert)\s+[^\[\]\n]{{1,40}}\]|<<\s*{_NAME}\s*>>|%%{_NAME}%%|@@{_NAME}@@|%\({_NAME}\)s|<%=?\s*{_NAME}\s*%>|__{_NAME}__)")
@@ -80,6 +83,9 @@ SLOT_NAMES = frozenset(
 #: Words of sentences that speak about such strings.
 _TALK = re.compile(r"(?i)\b(?:token|placeholders?|is\s+replaced|are\s+replaced|explains?\s+that|mail\s+merge|syntax|variables?|such\s+as|so-called|platzhalter|wird\s+ersetzt|jeton|balise|marcador|variable|est\s+remplacé|se\s+sustituye|заменяется|переменн\w+)\b|占位符|会被替换|变量")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|\r\n|[\n\r]|(?<=[。！？])")
+#: A run of one letter amid other sentences may be a masked or blackened word; as a line of its own it is filler.
+_RUN = re.compile(r"x+[\s.]*")
+_STOP = re.compile(r"[.!?]\s+|[。！？]\s*")
 _LINES = re.compile(r"\r\n|[\n\r\v\f  ]")
 _DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
 
@@ -232,7 +238,7 @@ def has_slot(text: str) -> bool:
 def has_dummy_text(text: str) -> bool:
     """Whether five words in a row or more, and most of a sentence or line, are words of the usual dummy text."""
     low = text.lower()
-    if not ("magna" in low or "ipsum" in low or "lorem" in low or "veniam" in low or "dolor" in low or "ullamco" in low or "cillum" in low or "nulla" in low):
+    if not any(w in low for w in _TELLING):
         return False
     for part in _SENTENCE.split(low):
         w = re.findall(r"[a-z]+", part)
@@ -241,16 +247,44 @@ def has_dummy_text(text: str) -> bool:
     return False
 
 
+def long_line_kinds(line: str, message: bool) -> tuple[set[str], bool]:
+    """Kinds of a line of several sentences, and whether all of it is messages or furniture.
+
+    A sentence of filler counts unless another one speaks about such strings. Without message, whether the record's
+    other lines are messages, only filler is looked for; the first ordinary sentence ends the search for messages.
+    """
+    sentences = [s for s in map(str.strip, _STOP.split(line)) if s]
+    fill = [bool(FILLERS.match(s) and not _RUN.fullmatch(s)) for s in sentences]
+    kinds: set[str] = set()
+    if any(fill) and not any(_TALK.search(s) for s, f in zip(sentences, fill, strict=True) if not f):
+        kinds.add("filler")
+    if message:
+        told = set()
+        for s in sentences:
+            if _RUN.fullmatch(s) or not (v := classify(s)):
+                return kinds, False
+            told.add(v)
+        kinds |= told
+    return kinds, message
+
+
 def is_residue(text: str, verdicts: Verdicts) -> str | None:
     """slot, filler or message (error page or notice), or None."""
     message = True
     kinds: set[str] = set()
+    long: list[str] = []
     for line in masked_lines(text):
-        v = verdicts.of(line) if is_short(line) else None
+        if not is_short(line):
+            long.append(line)
+            continue
+        v = verdicts.of(line)
         if v is None:
             message = False
         else:
             kinds.add(v)
+    for line in long:
+        more, message = long_line_kinds(line, message)
+        kinds |= more
     if "filler" in kinds:
         return "filler"
     if message and ("error" in kinds or "script" in kinds):

@@ -284,6 +284,23 @@ def test_residues(spark, limit):
     assert sorted({r.doc_id for r in residue.without_residue(docs).collect()}) == list(range(8, 17))
 
 
+LONG_LINES = [
+    ("404 Not Found. The page you asked for was moved or deleted. Access denied for this address. Please wait: internal server error. Session expired. Menu. Bad gateway. Connection refused.", "message"),
+    ("Please enable JavaScript to view this document. Scripts are disabled in your browser. This viewer requires scripts. Without JavaScript the pages are not shown. Cookies must be enabled for it too.", "message"),
+    ("The committee met in March and heard five reports on roads, bridges and water supply in the northern towns. Your text goes here. The next meeting takes place in the autumn.", "filler"),
+    ("The style guide explains that writers leave strings such as these in drafts of reports and letters all too often. Your text goes here. It then asks them to remove all of these.", None),
+    ("The committee met in March and heard five reports on roads, bridges and water supply in the northern towns. Access denied. The next meeting takes place in the autumn.", None),
+    ("Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit", "filler"), ("Sunt in culpa qui officia", "filler"), ("Il est et non qui sed, in est", None),
+    ("The committee met in March and heard five reports on roads, bridges and water supply in the northern towns. " + "x" * 150 + ". The next meeting takes place in the autumn.", None), ("x" * 300 + "y", None),
+]
+
+
+@pytest.mark.parametrize("text, want", LONG_LINES)
+def test_long_lines_and_all_dummy_words(text, want):
+    assert residue.is_residue(text, residue.Verdicts(None)) == want
+    assert residue.is_residue("Menu\n" + text, residue.Verdicts(None)) == want
+
+
 def test_prefix_tree():
     t = residue.PrefixTree()
     for line in ("could not open file in store #", "could not open file in store a#b", "could not read the file now"):
