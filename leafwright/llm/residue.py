@@ -1,7 +1,7 @@
 """Problem 8: template residue, filler, error pages and script notices instead of content.
 
 Message templates are mined from short lines with a prefix tree of fixed depth: line length, first tokens one
-by one, then templates of that leaf, joined by similarity with a wildcard where they differ. Tasks mine their own
+by one, then templates of that leaf, with a wildcard where later tokens hold numbers. Tasks mine their own
 lines, equal templates are combined, each template is classified once, and the verdicts go back to all lines.
 Longer lines are classified sentence by sentence, as far as that can still make the document residue.
 Apart from that, ordinary records are searched for unresolved slots and for filler words. A document is residue if
@@ -13,21 +13,20 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafwright.llm.lookalike import one_form
-from leafwright.runtime import cut
+from leafwright.runtime import cut, salted_join, written
 
 #: A message is a line of at most so many tokens.
 MESSAGE_TOKENS = 20
 #: The tree's levels below the line's length: so many first tokens.
 DEPTH = 4
-#: Templates of one leaf are joined if so many of their tokens are equal.
-SIMILARITY = 0.7
-#: Message templates up to this number travel to the executors; beyond it each task classifies its own templates.
+#: Message templates up to this number travel to the executors; beyond it lines are joined with them.
 TEMPLATE_LIMIT = 200_000
 _FLUSH = 100_000
 
@@ -103,44 +102,34 @@ def is_short(line: str) -> bool:
 class PrefixTree:
     """length -> first token -> .. -> token DEPTH -> templates. Numbers are masked before."""
 
-    def __init__(self, similarity: float = SIMILARITY) -> None:
+    def __init__(self) -> None:
         self.leaves: dict[tuple, list[tuple[str, ...]]] = {}
         self.counts: Counter = Counter()
-        self.similarity = similarity
 
     @staticmethod
     def leaf(tokens: list[str] | tuple[str, ...]) -> tuple:
         return len(tokens), *tokens[:DEPTH]
 
+    @staticmethod
+    def template(tokens: list[str]) -> tuple[str, ...]:
+        """Only tokens with a digit become wildcards, so that no telling word is lost."""
+        return tuple("<*>" if i >= DEPTH and "#" in t else t for i, t in enumerate(tokens))
+
     def match(self, tokens: list[str]) -> tuple[str, ...] | None:
-        """The most similar template of the tokens' leaf, if it is similar enough."""
-        best, most = None, self.similarity * len(tokens)
-        for t in self.leaves.get(self.leaf(tokens), ()):
-            same = sum(a == b for a, b in zip(t, tokens, strict=True))
-            if same >= most and (best is None or same > most) and all(a in ("<*>", b) for a, b in zip(t, tokens, strict=True)):
-                best, most = t, same
-        return best
+        """The template of the tokens, if their leaf has it."""
+        mine = self.template(tokens)
+        return mine if mine in self.leaves.get(self.leaf(tokens), ()) else None
 
     def add(self, tokens: list[str], n: int = 1) -> None:
-        """Only tokens with a digit may become wildcards, so that no telling word is lost."""
-        key = self.leaf(tokens)
-        mine = tuple("<*>" if i >= DEPTH and "#" in t else t for i, t in enumerate(tokens))
-        leaf = self.leaves.setdefault(key, [])
-        for i, t in enumerate(leaf):
-            same = sum(a == b for a, b in zip(t, mine, strict=True))
-            if same >= self.similarity * len(mine) and all(a == b or "#" in b or "#" in a or "<*>" in (a, b) for a, b in zip(t, mine, strict=True)):
-                joined = tuple(a if a == b else "<*>" for a, b in zip(t, mine, strict=True))
-                if joined != t:
-                    leaf[i] = joined
-                    self.counts[joined] += self.counts.pop(t)
-                self.counts[joined] += n
-                return
-        leaf.append(mine)
+        mine = self.template(tokens)
+        if mine not in self.counts:
+            self.leaves.setdefault(self.leaf(tokens), []).append(mine)
         self.counts[mine] += n
 
 
 def classify(template: str) -> str | None:
-    """error, script, filler, furniture, or None for an ordinary line."""
+    """error, script, filler, furniture, or None for an ordinary line; a wildcard reads like a number."""
+    template = template.replace("<*>", "#")
     if FILLERS.search(template):
         return "filler"
     if _TALK.search(template):
@@ -196,7 +185,7 @@ class Verdicts:
     def __init__(self, rows: list[tuple[str, str]] | None) -> None:
         self.own = rows is None
         self.by: dict[tuple[str, ...], str | None] = {}
-        self.tree = PrefixTree(0.0)
+        self.tree = PrefixTree()
         for template, verdict in rows or ():
             t = tuple(template.split())
             self.tree.leaves.setdefault(PrefixTree.leaf(t), []).append(t)
@@ -214,7 +203,7 @@ class Verdicts:
         if line not in self.seen:
             if len(self.seen) > _FLUSH:
                 self.seen.clear()
-            self.seen[line] = classify(" ".join(tokens))
+            self.seen[line] = classify(" ".join(PrefixTree.template(tokens)))
         return self.seen[line]
 
 
@@ -302,7 +291,9 @@ def residues(documents: DataFrame, template_limit: int = TEMPLATE_LIMIT) -> Data
     """
     docs = documents.select("doc_id", "text").filter("text <> '' and doc_id is not null")
     known = cut(template_verdicts(mined_templates(docs)).select("template", "verdict"))
-    table = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in known.collect()] if known.count() <= template_limit else None)
+    if known.count() > template_limit:
+        return _joined_residues(docs, known)
+    table = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in known.collect()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         verdicts = Verdicts(table.value)
@@ -313,6 +304,38 @@ def residues(documents: DataFrame, template_limit: int = TEMPLATE_LIMIT) -> Data
     return docs.mapInArrow(run, "doc_id long, kind string").distinct()
 
 
+def _joined_residues(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """residues with verdicts (template, verdict) of any number: templates of lines are joined with them.
+
+    A row per record and template, or one without a template, with what the record's long lines and the rest tell.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for d, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                kinds: set[str] = set()
+                message, templates = True, set()
+                for line in masked_lines(text):
+                    if is_short(line):
+                        templates.add(" ".join(PrefixTree.template(line.split())))
+                    else:
+                        more, message = long_line_kinds(line, message)
+                        kinds |= more
+                other = "slot" if has_slot(text) else "filler" if has_dummy_text(text) else None
+                rec = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+                rows += [(d, rec, "filler" in kinds, message, bool(kinds & {"error", "script"}), other, t) for t in templates or (None,)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string(), pa.string()))], ["doc_id", "rec", "filler", "message", "told", "other", "template"])
+
+    lines = written(docs.mapInArrow(run, "doc_id long, rec string, filler boolean, message boolean, told boolean, other string, template string"), "residue_lines")
+    v = F.coalesce("verdict", F.lit(""))
+    told = salted_join(lines, known, "template").groupBy("doc_id", "rec").agg(
+        F.bool_or(F.col("filler") | (v == "filler")).alias("filler"), F.bool_and(F.col("message") & (F.col("template").isNull() | (v != ""))).alias("message"), F.bool_or(F.col("told") | v.isin("error", "script")).alias("told"), F.max("other").alias("other")
+    )
+    kind = F.when(F.col("filler"), "filler").when(F.col("message") & F.col("told"), "message").otherwise(F.col("other"))
+    return told.select("doc_id", kind.alias("kind")).filter("kind is not null").distinct()
+
+
 def without_residue(documents: DataFrame) -> DataFrame:
     """The documents that are no residue, all columns."""
     return documents.join(residues(documents).select("doc_id").distinct(), "doc_id", "left_anti")

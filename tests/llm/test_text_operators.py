@@ -301,6 +301,23 @@ def test_long_lines_and_all_dummy_words(text, want):
     assert residue.is_residue("Menu\n" + text, residue.Verdicts(None)) == want
 
 
+def test_verdicts_are_equal_with_and_without_a_join(spark):
+    texts = ["Describe the section in 2 sentences.", "Describe the section in some sentences.", "please see the long page 7 of it", "please see the long page error of it", "Viewer 3\nError 404", "Menu\nsession expired at node a7", *(t for t, _ in LONG_LINES), "Menu\n" + LONG_LINES[0][0], "Title\n" + LONG_LINES[0][0], "{{ name }}\nmore", "Menu", "2\n3"]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
+    got = [sorted(map(tuple, residue.residues(docs, template_limit=n).collect())) for n in (10**6, 0)]
+    want = sorted({(i // 2, k) for i, t in enumerate(texts * 2) if (k := residue.is_residue(t, residue.Verdicts(None)))})
+    assert got == [want, want] and (0, "filler") in want
+    assert residue.is_residue(texts[0], residue.Verdicts(None)) == "filler"
+
+
+def test_words_become_no_wildcards():
+    t = residue.PrefixTree()
+    for line in ("we saw it on page # of the book", "we saw it on page error of the book"):
+        t.add(line.split())
+    assert sorted(" ".join(x) for x in t.counts) == ["we saw it on page <*> of the book", "we saw it on page error of the book"]
+    assert residue.Verdicts([("describe the section in <*> sentences", "filler")]).of("describe the section in some sentences") is None
+
+
 def test_prefix_tree():
     t = residue.PrefixTree()
     for line in ("could not open file in store #", "could not open file in store a#b", "could not read the file now"):
