@@ -19,7 +19,7 @@ def p3_places(spark, folder):
 
 
 def p3_objects(spark, folder):
-    return nested.objects(table(spark, folder, "trees"), ["type", "title", "level"])
+    return nested.objects(table(spark, folder, "trees"))
 
 
 def p3_bridge(spark, folder):

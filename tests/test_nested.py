@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from leafwright.operators import nested
+from leafwright.plans import nested_queries
 
 SCHEMA = "tree_key bigint, doc_id bigint, payload string, loaded_at timestamp, object_id string, node_no int"
 T0, T1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -45,6 +46,17 @@ def test_equal_subtrees_are_stored_once(spark):
     assert nested.places(df).count() == 0
 
 
+def test_registered_objects_have_all_fields(spark, tmp_path):
+    leaf = {"type": "text", "title": "x", "metadata": "m", "content": "c", "level": 2, "block_ids": [1, 2], "location": [{"bbox": [1, 2, 3, 4], "page": 5}], "unknown": {"a": 1}}
+    root = {"type": "root", "children": [leaf, leaf]}
+    spark.createDataFrame([(1, 1, json.dumps(root), T0, "", 0)], SCHEMA).write.parquet(f"{tmp_path}/trees.parquet")
+    got = {r.type: r for r in nested_queries.p3_objects(spark, str(tmp_path)).collect()}
+    x = got["text"]
+    assert (x.title, x.metadata, x.content, x.level, x.block_ids, json.loads(x.extra)) == ("x", "m", "c", 2, [1, 2], {"unknown": {"a": 1}})
+    assert [(p.bbox, p.page) for p in x.places] == [([1.0, 2.0, 3.0, 4.0], 5)]
+    assert len(got) == 2 and got["root"].content is None
+
+
 def test_places(spark):
     root = {"type": "root", "location": [{"bbox": [1, 2, 3, 4], "page": "2"}, {"bbox": [1], "page": None}, {"bbox": None}]}
     df = spark.createDataFrame([(1, 1, json.dumps(root), T0, "", 0)], SCHEMA)
