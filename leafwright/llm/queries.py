@@ -67,7 +67,7 @@ def p8_found(spark, folder):
 
 
 def p8_templates(spark, folder):
-    return residue.template_verdicts(residue.mined_templates(table(spark, folder, "documents")))
+    return residue.mined_templates(table(spark, folder, "documents"))
 
 
 def queries():

@@ -1,33 +1,40 @@
 """Problem 8: template residue, filler, error pages and script notices instead of content.
 
-Message templates are mined from short lines with a prefix tree of fixed depth: line length, first tokens one
-by one, then templates of that leaf, with a wildcard where later tokens hold numbers. Tasks mine their own
-lines, equal templates are combined, each template is classified once, and the verdicts go back to all lines.
-Longer lines are classified sentence by sentence, as far as that can still make the document residue.
-Apart from that, ordinary records are searched for unresolved slots and for filler words. A document is residue if
-it has a slot or filler where content should be, or if nothing but messages and page furniture is left of it.
+Every text is cut into units: its lines, and the sentences of lines that hold several. Units run through a prefix
+tree of fixed depth: the number of tokens, then the first tokens one by one; all units of a leaf are one template, whose
+later tokens are wildcards wherever the units differ. Patterns of known messages, fillers and page furniture are
+seeds only. Each template is classified once, over all texts: by the share of its units that are seeds, else
+by its support, its place, and the share of its texts that are made of messages only. The verdicts go back to the
+texts. Apart from that, ordinary records are searched for unresolved slots and for filler words. A document is residue
+if it has a slot or filler where content should be, or if nothing but messages and furniture is left of it.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
+from functools import lru_cache
+from re import _parser
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from leafwright.llm.lookalike import one_form
-from leafwright.runtime import cut, salted_join, written
+from leafwright.runtime import salted_join, written
 
-#: A message is a line of at most so many tokens.
-MESSAGE_TOKENS = 20
-#: The tree's levels below the line's length: so many first tokens.
+#: The tree's levels below the number of tokens: so many first tokens.
 DEPTH = 4
-#: Message templates up to this number travel to the executors; beyond it lines are joined with them.
-TEMPLATE_LIMIT = 200_000
+#: A template without seeds is judged from so many different texts on; it is a message, or filler, if this share of them is.
+SUPPORT, SHARE = 3, 0.8
+#: A template whose units are seeds of one kind in this share has that verdict.
+SEEDED = 0.5
+#: Kinds of seeds; `message` is the verdict of a template that no seed told.
+KINDS = ("error", "script", "filler", "furniture")
+MESSAGES = ("error", "script", "message")
+#: Leaves a task's tree holds before it is handed on.
 _FLUSH = 100_000
 
 #: How error messages read, by language.
@@ -40,7 +47,8 @@ ERRORS = re.compile(
   | session\s+(?:has\s+)?(?:expired|timed\s+out) | sitzung\s+(?:ist\s+)?abgelaufen | session\s+(?:a\s+)?expir[ée]e? | sesi[óo]n\s+(?:ha\s+)?(?:caducado|expirado) | (?:сеанс|сессия)\s+(?:ист[её]к|истекла|завершен) | 会话已?(?:过期|超时)
   | gateway\s+time-?out | bad\s+gateway | request\s+timed?\s*out | connection\s+(?:refused|reset|timed\s+out) | could\s+not\s+(?:connect|be\s+(?:opened|rendered|loaded|found)) | (?:service|server|site)\s+(?:is\s+)?(?:temporarily\s+)?unavailable | dienst\s+(?:ist\s+)?(?:vorübergehend\s+)?nicht\s+verfügbar | service\s+(?:temporairement\s+)?indisponible | servicio\s+no\s+disponible | сервис\s+(?:временно\s+)?недоступен | 服务(?:暂时)?不可用 | 稍后再试
   | was\s+not\s+found\s+on\s+this\s+(?:server|site) | konnte\s+nicht\s+(?:geladen|geöffnet|angezeigt|gefunden|verbunden|hergestellt)\s+werden | n['’]a\s+pas\s+pu\s+être\s+(?:chargé|ouvert|affiché|trouvé|établi) | no\s+se\s+(?:pudo|ha\s+podido)\s+(?:cargar|abrir|mostrar|conectar|encontrar) | не\s+удалось\s+(?:загрузить|открыть|показать|подключиться|найти) | 无法(?:加载|打开|显示|连接|访问) | (?:加载|打开|连接)失败
-  | too\s+many\s+requests | unhandled\s+exception | stack\s*trace | null\s+pointer | something\s+went\s+wrong | unexpected\s+(?:error|end\s+of\s+data) | moved\s+or\s+deleted
+  | pagina\s+non\s+trovata | página\s+não\s+encontrada | ページが見つかりません | (?:site|service|system)\s+(?:is\s+)?(?:down\s+for|under(?:going)?)\s+(?:\w+\s+)?maintenance | (?:verify|confirm|prove)\s+(?:that\s+)?you\s+are\s+(?:a\s+)?(?:human|not\s+a\s+robot)
+  | page\s+can(?:['’]t|not)\s+be\s+(?:found|displayed|reached) | too\s+many\s+requests | unhandled\s+exception | stack\s*trace | null\s+pointer | something\s+went\s+wrong | unexpected\s+(?:error|end\s+of\s+data) | moved\s+or\s+deleted
     """
 )
 #: How notices that scripts or cookies are needed read.
@@ -62,18 +70,18 @@ FILLERS = re.compile(
 #: Furniture of a viewer's page, which is no content.
 FURNITURE = re.compile(
     r"""(?x)
-    ^(?:menu|menü|menú|home|viewer(?:\s+\#)?|help|terms|contact|documents|sign\s+in|log\s?in|back(?:\s+to\s+\w+)?|next|search|close|print|share|cookies?|privacy|imprint|impressum|retry|reload|ref\.?\s*:?\s*\S+|(?:\w+\s*[|·»>]\s*)+\w+|(?:see\s+)?(?:page|seite|página|стр\.)\s+\#|-+|\#)\.?$
+    ^(?:menu|menü|menú|home|viewer(?:\s+\#)?|help|terms|contact|documents|sign\s+in|log\s?in|back(?:\s+to\s+\w+)?|next|search|close|print|share|cookies?|privacy|imprint|impressum|retry|reload|ref\.?\s*:?\s*\S+|(?:\w+\s*[|·»>]\s*)+\w+|(?:see\s+)?(?:page|seite|página|стр\.)\s+\#|-+|\#)\.?$ | ^(?:please|try|then\s+(?:try|reload)|contact|check|return|go\s+back|reload|refresh|bitte|veuillez|por\s+favor|пожалуйста|请|prego|riprova\w*)\b
     """
 )
 #: The words of the usual dummy text.
 DUMMY_WORDS = frozenset(
     "lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum mollis".split()
 )
-#: Those of them that are no common words elsewhere, nor parts of such ones (official, temporary, minimum).
+#: Those of them that are no common words elsewhere, nor parts of such ones (official, temporary, minimum); a dummy text has one.
 _TELLING = tuple(sorted(w for w in DUMMY_WORDS if len(w) > 4 and w not in ("officia", "tempor", "minim")))
 _NAME = r"[^\W\d]\w*(?:[.\-]\w+)*"
 #: Slots that nothing else looks like, and slots whose name must look like one.
-STRONG_SLOT = re.compile(rf"(?=[{{$\[<%@_])(?:\{{\{{\s*{_NAME}\s*\}}\}}|\$\{{\s*{_NAME}\s*\}}|\[(?:INSERT|insert|Insert)\s+[^\[\]\n]{{1,40}}\]|<<\s*{_NAME}\s*>>|%%{_NAME}%%|@@{_NAME}@@|%\({_NAME}\)s|<%=?\s*{_NAME}\s*%>|__{_NAME}__)")
+STRONG_SLOT = re.compile(rf"(?=[{{$\[<%@_])(?:\{{\{{\s*{_NAME}\s*\}}\}}|\$\{{\s*{_NAME}\s*\}}|\[(?:INSERT|insert|Insert)\s+[^\[\]\n]{{1,40}}\]|<<\s*{_NAME}\s*>>|%%{_NAME}%%|@@{_NAME}@@|%\({_NAME}\)s|<%=?\s*{_NAME}\s*%>|__{_NAME}__|\[(?:Your|your|YOUR)\s+[^\[\]\n]{{1,40}}\]|<[A-Z][a-z]+(?:\s[A-Z][a-z]+)+>|\{{%-?\s*{_NAME}[^%\n]*%\}})")
 WEAK_SLOT = re.compile(rf"(?=[\[{{<#])(?<![\w\[{{<])(?:\[(?P<a>{_NAME})\]|\{{(?P<b>{_NAME})\}}|<(?P<c>{_NAME})>|\#(?P<d>{_NAME})\#)(?![\w(\]}}>])")
 #: Names of slots, as they are without an underscore, a dot or capitals.
 SLOT_NAMES = frozenset(
@@ -81,12 +89,70 @@ SLOT_NAMES = frozenset(
 )
 #: Words of sentences that speak about such strings.
 _TALK = re.compile(r"(?i)\b(?:token|placeholders?|is\s+replaced|are\s+replaced|explains?\s+that|mail\s+merge|syntax|variables?|such\s+as|so-called|platzhalter|wird\s+ersetzt|jeton|balise|marcador|variable|est\s+remplacé|se\s+sustituye|заменяется|переменн\w+)\b|占位符|会被替换|变量")
-_SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|\r\n|[\n\r]|(?<=[。！？])")
+_SENTENCE_END = re.compile(r"(?<=[.!?。！？])\s+|\r\n|[\n\r]|(?<=[。！？])")
 #: A run of one letter amid other sentences may be a masked or blackened word; as a line of its own it is filler.
 _RUN = re.compile(r"x+[\s.]*")
-_STOP = re.compile(r"[.!?]\s+|[。！？]\s*")
-_LINES = re.compile(r"\r\n|[\n\r\v\f  ]")
+_STOP = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
+_LINES = re.compile(r"\r\n|[\n\r\v\f\x85  ]")
 _DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
+_HAN = re.compile(r"([぀-ヿ㐀-鿿])")
+
+
+def _required(pattern) -> set[str] | None:
+    """Literals of a parsed pattern of which every match holds one; the set whose shortest literal is longest, None if there is none."""
+    found: list[set[str]] = []
+    literal = ""
+    for op, arg in [*pattern, (None, None)]:
+        name = str(op)
+        if name == "LITERAL":
+            literal += chr(arg)
+            continue
+        if literal:
+            found.append({literal})
+            literal = ""
+        inner: list | None = None
+        if name == "SUBPATTERN":
+            inner = [arg[-1]]
+        elif name == "BRANCH":
+            inner = arg[1]
+        elif name in ("MAX_REPEAT", "POSSESSIVE_REPEAT", "MIN_REPEAT") and arg[0] > 0:
+            inner = [list(arg[2]) * arg[0]]
+        if inner and all((sets := [_required(x) for x in inner])):
+            found.append(set().union(*sets))
+    return max(found, key=lambda s: min(map(len, s)), default=None)
+
+
+def _alternatives(pattern: re.Pattern) -> list[re.Pattern]:
+    """The alternatives of a verbose pattern, each compiled by itself."""
+    out, depth, part, skip, inside = [], 0, "", False, False
+    for c in pattern.pattern.partition("(?x)")[2]:
+        inside = (inside or c == "[") and not (c == "]") if not skip else inside
+        if not skip and not inside:
+            depth += (c == "(") - (c == ")")
+        if c == "|" and not depth and not skip and not inside:
+            out.append(part)
+            part = ""
+        else:
+            part += c
+        skip = c == "\\" and not skip
+    return [re.compile("(?x)" + a) for a in (*out, part)]
+
+
+def _automaton() -> ahocorasick.Automaton:
+    """From each literal to the alternatives that need it, and to None for a telling word of dummy text."""
+    by: dict[str, list] = {w: [None] for w in _TELLING}
+    for kind, pattern in (("filler", FILLERS), ("script", SCRIPTS), ("error", ERRORS)):
+        for alternative in _alternatives(pattern):
+            for w in _required(_parser.parse(alternative.pattern, re.VERBOSE)):
+                by.setdefault(w, []).append((kind, alternative))
+    out = ahocorasick.Automaton()
+    for w, found in by.items():
+        out.add_word(w, tuple(found))
+    out.make_automaton()
+    return out
+
+
+_AUTOMATON = _automaton()
 
 
 def masked_lines(text: str) -> list[str]:
@@ -95,245 +161,229 @@ def masked_lines(text: str) -> list[str]:
     return [line for line in _LINES.split(_DIGITS.sub("#", plain)) if line and not line.isspace()]
 
 
-def is_short(line: str) -> bool:
-    return len(line) <= 200 and line.count(" ") < MESSAGE_TOKENS
+def sentences(line: str) -> list[str]:
+    """The sentences of a line; fewer than three tokens before a stop are a short form and stay with what follows."""
+    out: list[str] = []
+    part = ""
+    for s in _STOP.split(line):
+        part = f"{part} {s}" if part else s
+        if part.count(" ") > 1 or part.endswith(("。", "！", "？")):
+            out.append(part)
+            part = ""
+    if part and not part.isspace():
+        out.append(part)
+    return out
+
+
+def tokens(unit: str) -> list[str]:
+    """Tokens of a unit; a Han or Kana letter is one by itself."""
+    return (unit if unit.isascii() else _HAN.sub(r" \1 ", unit)).split()
 
 
 class PrefixTree:
-    """length -> first token -> .. -> token DEPTH -> templates. Numbers are masked before."""
+    """number of tokens -> first token -> .. -> token DEPTH -> the leaf's template, count and seeds."""
 
     def __init__(self) -> None:
-        self.leaves: dict[tuple, list[tuple[str, ...]]] = {}
-        self.counts: Counter = Counter()
+        self.leaves: dict[int, list] = {}
 
     @staticmethod
-    def leaf(tokens: list[str] | tuple[str, ...]) -> tuple:
-        return len(tokens), *tokens[:DEPTH]
+    def leaf(t: list[str]) -> int:
+        """The leaf's number, the same in every task: a hash of its path, in which a token with digits is a wildcard."""
+        return xxh64_intdigest(f"{len(t)} {' '.join('<*>' if '#' in x else x for x in t[:DEPTH])}") - (1 << 63)
 
-    @staticmethod
-    def template(tokens: list[str]) -> tuple[str, ...]:
-        """Only tokens with a digit become wildcards, so that no telling word is lost."""
-        return tuple("<*>" if i >= DEPTH and "#" in t else t for i, t in enumerate(tokens))
-
-    def match(self, tokens: list[str]) -> tuple[str, ...] | None:
-        """The template of the tokens, if their leaf has it."""
-        mine = self.template(tokens)
-        return mine if mine in self.leaves.get(self.leaf(tokens), ()) else None
-
-    def add(self, tokens: list[str], n: int = 1) -> None:
-        mine = self.template(tokens)
-        if mine not in self.counts:
-            self.leaves.setdefault(self.leaf(tokens), []).append(mine)
-        self.counts[mine] += n
-
-
-def classify(template: str) -> str | None:
-    """error, script, filler, furniture, or None for an ordinary line; a wildcard reads like a number."""
-    template = template.replace("<*>", "#")
-    if FILLERS.search(template):
+    def add(self, t: list[str]) -> None:
+        at = self.leaf(t)
+        known = self.leaves.get(at)
+        if known is None:
+            self.leaves[at] = [t, 1]
+            return
+        known[1] += 1
+        if known[0] != t:
+            known[0] = [a if a == b else "<*>" for a, b in zip(known[0], t, strict=True)]
+
+
+def seed(unit: str) -> str | None:
+    """error, script or filler by the patterns, or None; sentences that speak about such strings are none."""
+    return _seed(unit, _found(unit))
+
+
+def _found(text: str) -> set:
+    """The alternatives that can match in the text, each once, and None if a word tells dummy text."""
+    return {x for _, found in _AUTOMATON.iter(text) for x in found}
+
+
+def _seed(unit: str, candidates: set) -> str | None:
+    kinds = {x[0] for x in candidates if x and x[1].search(unit)}
+    if "filler" in kinds:
         return "filler"
-    if _TALK.search(template):
+    if not kinds or _TALK.search(unit):
         return None
-    if SCRIPTS.search(template):
-        return "script"
-    if ERRORS.search(template):
-        return "error"
-    return "furniture" if FURNITURE.search(template) else None
+    return "script" if "script" in kinds else "error"
 
 
-def mined_templates(documents: DataFrame) -> DataFrame:
-    """template, n: templates of all short lines, mined by each task and combined."""
+@lru_cache(maxsize=1 << 16)
+def furniture(unit: str) -> bool:
+    return bool(FURNITURE.search(unit)) and not _TALK.search(unit)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = PrefixTree()
-        exact: Counter[str] = Counter()
 
-        def flush() -> pa.RecordBatch:
-            nonlocal tree
-            for line, n in exact.items():
-                tree.add(line.split(), n)
-            rows = [(" ".join(t), n) for t, n in tree.counts.items() if t]
-            tree = PrefixTree()
-            exact.clear()
-            return pa.RecordBatch.from_pydict({"template": pa.array([r[0] for r in rows], pa.string()), "n": pa.array([r[1] for r in rows], pa.int64())})
+def _is_advice(parts: list[str], seeds: list[str | None], i: int) -> bool:
+    """Whether a sentence stands beside a message in its line and is no longer than that, as in "Session expired. Sign in again."."""
+    beside = [parts[k] for k in (i - 1, i + 1) if 0 <= k < len(parts) and seeds[k] in ("error", "script")]
+    return any(len(parts[i].split()) <= len(p.split()) for p in beside) and not _TALK.search(parts[i])
 
-        for b in batches:
-            for text in b.column("text").to_pylist():
-                if text:
-                    exact.update(line for line in masked_lines(text) if is_short(line))
-            if len(exact) > _FLUSH:
-                yield flush()
-        yield flush()
 
-    return documents.select("text").mapInArrow(run, "template string, n long").groupBy("template").agg(F.sum("n").alias("n"))
+class Reading:
+    """What one text tells: its units with their seeds, and whether it holds dummy text."""
 
+    def __init__(self, text: str) -> None:
+        self.units: list[tuple[str, str | None]] = []
+        self.dummy = False
+        for line in masked_lines(text):
+            parts = sentences(line)
+            found = _found(line)
+            seeds: list[str | None] = [None] * len(parts)
+            if found:
+                seeds = [seed(s) for s in parts] if len(parts) > 1 else [_seed(parts[0].strip(), found)]
+                if len(parts) > 1 and "filler" in seeds:
+                    told = any(_TALK.search(s) for s, v in zip(parts, seeds, strict=True) if v != "filler")
+                    quoted = [v == "filler" and bool(told or _RUN.fullmatch(s)) for s, v in zip(parts, seeds, strict=True)]
+                    # what a line only speaks about goes to branches of its own, so that no verdict from elsewhere reaches it
+                    parts = [f"“ {s}" if q else s for s, q in zip(parts, quoted, strict=True)]
+                    seeds = [None if q else v for v, q in zip(seeds, quoted, strict=True)]
+                self.dummy = self.dummy or (None in found and has_dummy_text(line))
+            for i, (s, v) in enumerate(zip(parts, seeds, strict=True)):
+                self.units.append((s, v or ("furniture" if furniture(s.strip()) or (found and _is_advice(parts, seeds, i)) else None)))
 
-def template_verdicts(templates: DataFrame) -> DataFrame:
-    """template, n, verdict of the templates that are no ordinary lines; each is classified once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(t, n, v) for t, n in zip(b.column("template").to_pylist(), b.column("n").to_pylist(), strict=True) if (v := classify(t))]
-            yield pa.RecordBatch.from_pydict({"template": pa.array([r[0] for r in rows], pa.string()), "n": pa.array([r[1] for r in rows], pa.int64()), "verdict": pa.array([r[2] for r in rows], pa.string())})
-
-    return templates.mapInArrow(run, "template string, n long, verdict string")
-
-
-class Verdicts:
-    """Verdicts of lines by their templates; without a given table templates are classified as they turn up."""
-
-    def __init__(self, rows: list[tuple[str, str]] | None) -> None:
-        self.own = rows is None
-        self.by: dict[tuple[str, ...], str | None] = {}
-        self.tree = PrefixTree()
-        for template, verdict in rows or ():
-            t = tuple(template.split())
-            self.tree.leaves.setdefault(PrefixTree.leaf(t), []).append(t)
-            self.by[t] = verdict
-        self.seen: dict[str, str | None] = {}
-
-    def of(self, line: str) -> str | None:
-        """line: a masked line."""
-        tokens = line.split()
-        if not self.own:
-            if PrefixTree.leaf(tokens) not in self.tree.leaves:
-                return None
-            t = self.tree.match(tokens)
-            return self.by[t] if t else None
-        if line not in self.seen:
-            if len(self.seen) > _FLUSH:
-                self.seen.clear()
-            self.seen[line] = classify(" ".join(PrefixTree.template(tokens)))
-        return self.seen[line]
+_TELL = frozenset(_TELLING)
+
+
+def has_dummy_text(text: str) -> bool:
+    """Whether five words in a row or more, and most of a sentence or line, are words of the usual dummy text."""
+    for part in _SENTENCE_END.split(text.lower()):
+        w = re.findall(r"[a-z]+", part)
+        if len(w) >= 5 and sum(x in DUMMY_WORDS for x in w) >= 0.7 * len(w) and len(w) * 3 >= len(part.split()) and not _TELL.isdisjoint(w):
+            return True
+    return False
 
 
 def has_slot(text: str) -> bool:
     """Whether an unresolved slot stands in the text, other than in a sentence that speaks about such strings."""
-    if not any(c in text for c in ("{", "[", "<", "%%", "@@", "__", "#")):
+    if not any(c in text for c in ("{", "[", "<", "%", "@@", "__", "#")):
         return False
     found = [m.start() for m in STRONG_SLOT.finditer(text)]
     for m in WEAK_SLOT.finditer(text):
         name = next(x for x in m.groups() if x)
         if "_" in name or "." in name or (name.isupper() and len(name) > 2) or name.casefold() in SLOT_NAMES:
             found.append(m.start())
-    for at in found:
-        begin = max((m.end() for m in _SENTENCE.finditer(text, max(0, at - 400), at)), default=max(0, at - 400))
-        end = next((m.start() for m in _SENTENCE.finditer(text, at)), len(text))
-        if not _TALK.search(text, begin, end):
+    if not found:
+        return False
+    at = 0
+    ends = [*_SENTENCE_END.finditer(text)]
+    for begin, end in zip([0, *(m.end() for m in ends)], [*(m.start() for m in ends), len(text)], strict=True):
+        if any(begin <= x < max(end, begin + 1) for x in found) and not _TALK.search(text, begin, end):
             return True
-    return False
+        at = end
+    return at < 0
 
 
-def has_dummy_text(text: str) -> bool:
-    """Whether five words in a row or more, and most of a sentence or line, are words of the usual dummy text."""
-    low = text.lower()
-    if not any(w in low for w in _TELLING):
-        return False
-    for part in _SENTENCE.split(low):
-        w = re.findall(r"[a-z]+", part)
-        if len(w) >= 5 and sum(x in DUMMY_WORDS for x in w) >= 0.7 * len(w) and len(w) * 3 >= len(part.split()):
-            return True
-    return False
+_ROWS = "doc_id long, rec long, other string, leaves array<long>, seeds array<tinyint>"
 
 
-def long_line_kinds(line: str, message: bool) -> tuple[set[str], bool]:
-    """Kinds of a line of several sentences, and whether all of it is messages or furniture.
+def read_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, rec, other, leaves, seeds: a row per document with its text's number, the leaves its units fall into, each unit's
+    seed as a place in KINDS (-1: none), and `slot` or `filler` if it holds a slot or dummy text. Whole texts are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: tuple[list, ...] = ([], [], [], [], [])
+            for d, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                r = Reading(text)
+                other = "slot" if has_slot(text) else "filler" if r.dummy else None
+                values = (d, xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63), other, [PrefixTree.leaf(tokens(u)) for u, _ in r.units], [KINDS.index(s) if s else -1 for _, s in r.units])
+                for col, v in zip(rows, values, strict=True):
+                    col.append(v)
+            types = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int8()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], ["doc_id", "rec", "other", "leaves", "seeds"])
+
+    return docs.mapInArrow(run, _ROWS)
 
-    A sentence of filler counts unless another one speaks about such strings. Without message, whether the record's
-    other lines are messages, only filler is looked for; the first ordinary sentence ends the search for messages.
-    """
-    sentences = [s for s in map(str.strip, _STOP.split(line)) if s]
-    fill = [bool(FILLERS.match(s) and not _RUN.fullmatch(s)) for s in sentences]
-    kinds: set[str] = set()
-    if any(fill) and not any(_TALK.search(s) for s, f in zip(sentences, fill, strict=True) if not f):
-        kinds.add("filler")
-    if message:
-        told = set()
-        for s in sentences:
-            if _RUN.fullmatch(s) or not (v := classify(s)):
-                return kinds, False
-            told.add(v)
-        kinds |= told
-    return kinds, message
-
-
-def is_residue(text: str, verdicts: Verdicts) -> str | None:
-    """slot, filler or message (error page or notice), or None."""
-    message = True
-    kinds: set[str] = set()
-    long: list[str] = []
-    for line in masked_lines(text):
-        if not is_short(line):
-            long.append(line)
-            continue
-        v = verdicts.of(line)
-        if v is None:
-            message = False
-        else:
-            kinds.add(v)
-    for line in long:
-        more, message = long_line_kinds(line, message)
-        kinds |= more
-    if "filler" in kinds:
-        return "filler"
-    if message and ("error" in kinds or "script" in kinds):
-        return "message"
-    if has_slot(text):
-        return "slot"
-    return "filler" if has_dummy_text(text) else None
 
+def text_units(rows: DataFrame) -> DataFrame:
+    """rec, leaf, told, and a count per kind of seed: each leaf of each different text once, however many documents have the text."""
+    told = F.exists("seeds", lambda s: s >= 0)
+    u = rows.select("rec", told.alias("told"), F.explode(F.arrays_zip("leaves", "seeds")).alias("u")).select("rec", "told", F.col("u.leaves").alias("leaf"), F.col("u.seeds").alias("seed"))
+    return u.groupBy("rec", "leaf").agg(F.bool_or("told").alias("told"), *[F.bool_or(F.col("seed") == i).alias(k) for i, k in enumerate(KINDS)])
 
-def residues(documents: DataFrame, template_limit: int = TEMPLATE_LIMIT) -> DataFrame:
+
+def leaf_verdicts(units: DataFrame) -> DataFrame:
+    """leaf, n, verdict, learned: each template classified once, from all texts; templates of ordinary text are left out.
+
+    n is the number of different texts. A template whose units are seeds of a kind in half of them is of that kind, unless it
+    is a message with support of whose texts hardly one is made of messages only: ordinary text quotes it. Any other one is a message if it has support and SHARE of its texts hold nothing but seeded and supported templates, at least
+    one seeded; it is filler if SHARE of its texts hold seeded filler.
+    """
+    support = written(units.groupBy("leaf").agg(F.count("*").alias("n"), *[F.count_if(k).alias(k) for k in KINDS]), "residue_leaves")
+    by_seed = F.coalesce(*[F.when(F.col(k) >= SEEDED * F.col("n"), k) for k in KINDS])
+    own = support.select("leaf", "n", by_seed.alias("verdict"))
+    of_told = salted_join(units.filter("told").select("rec", "leaf", "filler"), own, "leaf", "inner")
+    texts = of_told.groupBy("rec").agg(F.bool_and((F.col("n") >= SUPPORT) | F.col("verdict").isNotNull()).alias("closed"), F.bool_or("filler").alias("filled"))
+    marked = texts.filter("closed or filled")
+    shares = units.filter("told").select("rec", "leaf").join(marked, "rec").groupBy("leaf").agg(F.count_if(F.col("closed") & ~F.col("filled")).alias("closed"), F.count_if("filled").alias("filled"))
+    quoted = F.col("verdict").isin(*MESSAGES) & (F.col("n") >= SUPPORT) & (F.coalesce("closed", F.lit(0)) <= (1 - SHARE) * F.col("n"))
+    j = own.join(shares, "leaf", "left").withColumn("verdict", F.when(~F.coalesce(quoted, F.lit(False)), F.col("verdict"))).withColumn("quoted", F.coalesce(quoted, F.lit(False)))
+    enough = F.col("n") >= SUPPORT
+    enough = enough & ~F.col("quoted")
+    learned = F.when(enough & (F.col("filled") >= SHARE * F.col("n")), "filler").when(enough & (F.col("closed") >= SHARE * F.col("n")), "message")
+    return j.select("leaf", "n", F.coalesce("verdict", learned).alias("verdict"), F.col("verdict").isNull().alias("learned")).filter("verdict is not null")
+
+
+def residues(documents: DataFrame) -> DataFrame:
     """doc_id, kind (message, filler, slot) of all documents that are residue; repeated rows count once.
 
     Null, empty and blank texts are none, nor are texts that only speak about such strings; rows without a doc_id
-    are left out.
+    are left out. Documents meet their verdicts as numbers of texts and leaves; no text is shuffled, no table broadcast.
     """
-    docs = documents.select("doc_id", "text").filter("text <> '' and doc_id is not null")
-    known = cut(template_verdicts(mined_templates(docs)).select("template", "verdict"))
-    if known.count() > template_limit:
-        return _joined_residues(docs, known)
-    table = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in known.collect()])
+    docs = documents.select(F.col("doc_id").cast("long"), "text").filter("text <> '' and doc_id is not null")
+    rows = written(read_documents(docs), "residue_rows")
+    units = written(text_units(rows), "residue_units")
+    verdicts = written(leaf_verdicts(units), "residue_verdicts").select("leaf", "verdict")
+    told = salted_join(units.select("rec", "leaf"), verdicts, "leaf", "inner")
+    texts = told.groupBy("rec").agg(F.count("*").alias("n"), F.bool_or(F.col("verdict").isin(*MESSAGES)).alias("message"), F.bool_or(F.col("verdict") == "filler").alias("filler")).filter("message or filler")
+    j = rows.select("doc_id", "rec", "other", F.size(F.array_distinct("leaves")).alias("n_units")).join(texts, "rec", "left")
+    kind = F.when(F.col("filler"), "filler").when(F.col("message") & (F.col("n") == F.col("n_units")), "message").otherwise(F.col("other"))
+    return j.select("doc_id", kind.alias("kind")).filter("kind is not null").distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        verdicts = Verdicts(table.value)
-        for b in batches:
-            rows = [(d, k) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True) if (k := is_residue(t, verdicts))]
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "kind": pa.array([r[1] for r in rows], pa.string())})
 
-    return docs.mapInArrow(run, "doc_id long, kind string").distinct()
-
-
-def _joined_residues(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """residues with verdicts (template, verdict) of any number: templates of lines are joined with them.
+def mined_templates(documents: DataFrame) -> DataFrame:
+    """leaf, template, n: the templates of the leaves with a verdict, with wildcards wherever their units differ, and their verdicts.
 
-    A row per record and template, or one without a template, with what the record's long lines and the rest tell.
+    Tasks build trees of their own; trees are merged leaf by leaf and token by token, which no order changes.
     """
+    docs = documents.select(F.col("doc_id").cast("long"), "text").filter("text <> '' and doc_id is not null")
+    verdicts = leaf_verdicts(written(text_units(read_documents(docs)), "residue_units"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = PrefixTree()
+
+        def flush() -> pa.RecordBatch:
+            rows = [(k, t) for k, (t, _) in tree.leaves.items()]
+            tree.leaves.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], ["leaf", "tokens"])
+
         for b in batches:
-            rows = []
-            for d, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                kinds: set[str] = set()
-                message, templates = True, set()
-                for line in masked_lines(text):
-                    if is_short(line):
-                        templates.add(" ".join(PrefixTree.template(line.split())))
-                    else:
-                        more, message = long_line_kinds(line, message)
-                        kinds |= more
-                other = "slot" if has_slot(text) else "filler" if has_dummy_text(text) else None
-                rec = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
-                rows += [(d, rec, "filler" in kinds, message, bool(kinds & {"error", "script"}), other, t) for t in templates or (None,)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string(), pa.string()))], ["doc_id", "rec", "filler", "message", "told", "other", "template"])
-
-    lines = written(docs.mapInArrow(run, "doc_id long, rec string, filler boolean, message boolean, told boolean, other string, template string"), "residue_lines")
-    v = F.coalesce("verdict", F.lit(""))
-    told = salted_join(lines, known, "template").groupBy("doc_id", "rec").agg(
-        F.bool_or(F.col("filler") | (v == "filler")).alias("filler"), F.bool_and(F.col("message") & (F.col("template").isNull() | (v != ""))).alias("message"), F.bool_or(F.col("told") | v.isin("error", "script")).alias("told"), F.max("other").alias("other")
-    )
-    kind = F.when(F.col("filler"), "filler").when(F.col("message") & F.col("told"), "message").otherwise(F.col("other"))
-    return told.select("doc_id", kind.alias("kind")).filter("kind is not null").distinct()
+            for text in b.column("text").to_pylist():
+                for unit, _ in Reading(text).units:
+                    tree.add(tokens(unit))
+            if len(tree.leaves) > _FLUSH:
+                yield flush()
+        yield flush()
+
+    mined = docs.select("text").mapInArrow(run, "leaf long, tokens array<string>").join(verdicts, "leaf", "left_semi")
+    per_token = mined.select("leaf", F.posexplode("tokens").alias("pos", "token")).groupBy("leaf", "pos").agg(F.min("token").alias("lo"), F.max("token").alias("hi"))
+    token = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise("<*>")
+    templates = per_token.groupBy("leaf").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", token.alias("t")))), lambda x: x["t"]), " ").alias("template"))
+    return templates.join(verdicts, "leaf").select("template", "n", "verdict", "learned")
 
 
 def without_residue(documents: DataFrame) -> DataFrame:

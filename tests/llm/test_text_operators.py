@@ -268,64 +268,6 @@ def test_leaks_against_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in got.filter("run >= 12").collect()} == want
 
 
-# problem 8
-
-
-@pytest.mark.parametrize("limit", [residue.TEMPLATE_LIMIT, -1])
-def test_residues(spark, limit):
-    texts = [
-        (1, "404 Not Found\nMenu", "message"), (2, "Please enable JavaScript to view this document.", "message"), (3, "A title\nDear {{ client_name }},\nmore text", "slot"), (4, "Title\nLorem ipsum dolor sit amet magna aliqua.", "filler"), (5, "Title\nTBD TBD TBD", "filler"), (6, "Prepared for: [department]", "slot"), (7, "ДОСТУП ЗАПРЕЩЁН", "message"),
-        (8, "The policy forbids pages that ask visitors to enable JavaScript before the x is shown.\nMore.", None), (9, "The manual explains that the token {{client_name}} is replaced before printing.", None), (10, "Reviewers argue that filler such as lorem ipsum hides faults.", None), (11, "In the outage we counted 40 answers with status 404.", None), (12, None, None), (13, " \n", None), (14, "See [22] and [68]. <b> {80; 69} #29", None), (15, "Menu\nHelp | Terms", None), (16, "x" * 200_000, None), (1, "404 Not Found\nMenu", "message"),
-    ]
-    docs = spark.createDataFrame([(d, t, "k") for d, t, _ in texts], "doc_id long, text string, kind string")
-    got = sorted(map(tuple, residue.residues(docs, template_limit=limit).collect()))
-    assert got == sorted({(d, k) for d, _, k in texts if k})
-    assert residue.residues(docs.limit(0)).count() == 0
-    assert sorted({r.doc_id for r in residue.without_residue(docs).collect()}) == list(range(8, 17))
-
-
-LONG_LINES = [
-    ("404 Not Found. The page you asked for was moved or deleted. Access denied for this address. Please wait: internal server error. Session expired. Menu. Bad gateway. Connection refused.", "message"),
-    ("Please enable JavaScript to view this document. Scripts are disabled in your browser. This viewer requires scripts. Without JavaScript the pages are not shown. Cookies must be enabled for it too.", "message"),
-    ("The committee met in March and heard five reports on roads, bridges and water supply in the northern towns. Your text goes here. The next meeting takes place in the autumn.", "filler"),
-    ("The style guide explains that writers leave strings such as these in drafts of reports and letters all too often. Your text goes here. It then asks them to remove all of these.", None),
-    ("The committee met in March and heard five reports on roads, bridges and water supply in the northern towns. Access denied. The next meeting takes place in the autumn.", None),
-    ("Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit", "filler"), ("Sunt in culpa qui officia", "filler"), ("Il est et non qui sed, in est", None),
-    ("The committee met in March and heard five reports on roads, bridges and water supply in the northern towns. " + "x" * 150 + ". The next meeting takes place in the autumn.", None), ("x" * 300 + "y", None),
-]
-
-
-@pytest.mark.parametrize("text, want", LONG_LINES)
-def test_long_lines_and_all_dummy_words(text, want):
-    assert residue.is_residue(text, residue.Verdicts(None)) == want
-    assert residue.is_residue("Menu\n" + text, residue.Verdicts(None)) == want
-
-
-def test_verdicts_are_equal_with_and_without_a_join(spark):
-    texts = ["Describe the section in 2 sentences.", "Describe the section in some sentences.", "please see the long page 7 of it", "please see the long page error of it", "Viewer 3\nError 404", "Menu\nsession expired at node a7", *(t for t, _ in LONG_LINES), "Menu\n" + LONG_LINES[0][0], "Title\n" + LONG_LINES[0][0], "{{ name }}\nmore", "Menu", "2\n3"]
-    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
-    got = [sorted(map(tuple, residue.residues(docs, template_limit=n).collect())) for n in (10**6, 0)]
-    want = sorted({(i // 2, k) for i, t in enumerate(texts * 2) if (k := residue.is_residue(t, residue.Verdicts(None)))})
-    assert got == [want, want] and (0, "filler") in want
-    assert residue.is_residue(texts[0], residue.Verdicts(None)) == "filler"
-
-
-def test_words_become_no_wildcards():
-    t = residue.PrefixTree()
-    for line in ("we saw it on page # of the book", "we saw it on page error of the book"):
-        t.add(line.split())
-    assert sorted(" ".join(x) for x in t.counts) == ["we saw it on page <*> of the book", "we saw it on page error of the book"]
-    assert residue.Verdicts([("describe the section in <*> sentences", "filler")]).of("describe the section in some sentences") is None
-
-
-def test_prefix_tree():
-    t = residue.PrefixTree()
-    for line in ("could not open file in store #", "could not open file in store a#b", "could not read the file now"):
-        t.add(line.split())
-    assert sorted(" ".join(x) for x in t.counts) == ["could not open file in store <*>", "could not read the file now"]
-    assert t.counts["could", "not", "open", "file", "in", "store", "<*>"] == 2
-
-
 def test_rows_without_a_key(spark):
     blocks = spark.createDataFrame([(None, 1, 1, 1, "text", "<b>x</b> - 1 -", "", ""), (None, None, None, None, None, None, None, None)], BLOCKS)
     trees = spark.createDataFrame([(None, None, '{"type": "text", "content": "<b>"}')], TREES)
