@@ -4,12 +4,14 @@ Two passes over the records. The first counts the corpus vocabulary (words, hyph
 combined per partition. From it follow, as small tables, the misread words (same shape as a far more
 frequent word, reachable from it by known misreadings) and the cut words whose mark is no part of the word.
 Header lines come per document from header blocks, from fuzzy repetition of lines at page edges (same shape,
-digits set aside, on two pages or more) and from the document's first title. The second pass looks for all
-four in every whole record.
+digits set aside, on two pages or more) and from the document's first title. Page numbers are those of the record's
+own page, and those of a sequence: numbers alone in a line, Arabic or Roman, that keep one distance from the page over
+pages in a row. The second pass looks for all four in every whole record.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -18,6 +20,7 @@ from functools import lru_cache
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +32,7 @@ from leafwright.runtime import cut, hot_keys, salted_join, written
 #: What a scanner makes of printed characters, as pairs of printed and read.
 MISREADINGS = (
     ("e", "c"), ("s", "5"), ("t", "f"), ("o", "0"), ("i", "1"), ("l", "1"), ("d", "cl"), ("m", "rn"), ("u", "ii"), ("g", "9"), ("b", "6"), ("b", "8"), ("h", "li"), ("w", "vv"), ("ri", "n"), ("rn", "m"),
-    ("l", "|"), ("i", "|"), ("l", "!"), ("i", "!"), ("о", "0"), ("и", "н"), ("п", "н"), ("з", "3"), ("б", "6"), ("ш", "щ"),
+    ("l", "I"), ("l", "|"), ("i", "|"), ("l", "!"), ("i", "!"), ("о", "0"), ("и", "н"), ("п", "н"), ("з", "3"), ("б", "6"), ("ш", "щ"),
 )
 #: What each character turns into so that characters read for one another, or for pairs of others, become equal.
 SHAPES = str.maketrans({
@@ -112,8 +115,13 @@ def prose(text: str) -> str:
 
 
 def could_be_misread(word: str) -> bool:
-    """Names and codes start with a capital or are digits; they are no common words."""
-    return len(word) >= MIN_LENGTH and not word[0].isupper() and word[1:].islower() and any(c.isalpha() for c in word)
+    """Codes are mostly digits; a word in capitals, with a capital at its start or inside may be misread as well."""
+    return len(word) >= MIN_LENGTH and 2 * sum(map(str.isalpha, word)) > len(word)
+
+
+def as_read(word: str) -> str:
+    """The word in lower case, but for a capital I amid small letters, which stands for an l."""
+    return word.lower() if word.isupper() else "".join(c if c == "I" else c.lower() for c in word)
 
 
 def is_misreading(printed: str, read: str) -> bool:
@@ -171,7 +179,7 @@ def misread_words(words: DataFrame) -> DataFrame:
 
     @F.pandas_udf(T.BooleanType())
     def _reached(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([could_be_misread(y) and is_misreading(x.lower(), y) for x, y in zip(a, b, strict=True)])
+        return pd.Series([could_be_misread(y) and is_misreading(x.lower(), as_read(y)) for x, y in zip(a, b, strict=True)])
 
     shaped = words.withColumn("shape", _shape("word"))
     top = shaped.filter(~F.col("word").rlike(r"\d")).groupBy("shape").agg(F.max(F.struct("n", "word")).alias("top"))
@@ -213,6 +221,41 @@ def page_number_in(text: str, pages: set[int]) -> bool:
     return False
 
 
+_ROMAN_LINE = re.compile(r"\s*[-–—]?\s*([ivxlc]{1,9}|[IVXLC]{1,9})\s*[-–—]?\s*\Z")
+#: Roman digits.
+_ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
+
+
+def roman(text: str) -> int:
+    """Value of a Roman numeral."""
+    v = [_ROMAN[c] for c in text.lower()]
+    return sum(-a if a < b else a for a, b in zip(v, [*v[1:], 0], strict=True))
+
+
+def numbers_alone(text: str) -> Iterator[tuple[str, int]]:
+    """Kind (n or r for Roman) and value of numbers that stand alone in a line, as printed page numbers do."""
+    before = ""
+    for line in _LINE_END.split(text):
+        if line and not line.isspace():
+            if m := PAGE_LINE.match(line):
+                if not _REFERENCE.search(before):
+                    yield "n", int(next(x for x in m.groups() if x))
+            elif m := _ROMAN_LINE.match(line):
+                yield "r", roman(m[1])
+        before = line
+
+
+def page_sequences(numbers: DataFrame, least: int = 3) -> DataFrame:
+    """doc_id, kind, shift: sequences of numbers (doc_id, kind, page, number) that grow with the pages.
+
+    shift is number less page; it counts if it holds on `least` pages in a row or more, so that front matter, extracts and
+    Roman numerals are found at any offset. A page's numbers count once, so rows are few at any length of texts.
+    """
+    d = numbers.select("doc_id", "kind", (F.col("number") - F.col("page")).alias("shift"), "page").distinct()
+    row = F.row_number().over(Window.partitionBy("doc_id", "kind", "shift").orderBy("page"))
+    return d.withColumn("run", F.col("page") - row).groupBy("doc_id", "kind", "shift", "run").count().filter(F.col("count") >= least).select("doc_id", "kind", "shift").distinct()
+
+
 def header_in(text: str, head: str, pages: set[int]) -> tuple[bool, bool]:
     """Whether the text holds the header line (its line_shape), and whether a page number goes with it.
 
@@ -255,45 +298,52 @@ def scan_records(blocks: DataFrame, trees: DataFrame) -> DataFrame:
 def header_lines(blocks: DataFrame) -> DataFrame:
     """doc_id, head: the line_shape of each running header line of a document.
 
-    Header blocks and the document's first title count by themselves; a line at the edge of pages counts from
-    two pages on if these are a quarter of the document's pages or more. Sentences are no header lines.
+    Header blocks and the document's first title count by themselves; the first and last lines of the blocks at a page's edges
+    count if they come back on two pages that are a quarter of the document's pages or more, or on three pages in a row.
+    Sentences are no header lines.
     """
     edges = blocks.groupBy("doc_id", "page").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     n_pages = edges.groupBy("doc_id").agg(F.count("*").alias("n_pages"))
     first = blocks.filter("block_type = 'title' and content <> ''").groupBy("doc_id").agg(F.min(F.struct("id", "content")).alias("t")).select("doc_id", F.col("t.content").alias("line"), F.lit(True).alias("sure"), F.lit(0).alias("page"))
     typed = blocks.filter("block_type = 'header' and content <> ''").select("doc_id", F.col("content").alias("line"), F.lit(True).alias("sure"), "page")
-    short = blocks.filter(F.col("block_type").isin(*TEXT_BLOCKS) & F.length("content").between(1, 120) & ~F.col("content").rlike(r"[.!?。:;]\s*$")).select("doc_id", "page", "id", F.col("content").alias("line"))
-    at_edge = short.join(edges, ["doc_id", "page"]).filter("id = lo or id = hi").select("doc_id", "line", F.lit(False).alias("sure"), "page")
+    lines = F.split(F.trim("content"), r"\s*[\r\n]\s*")
+    outer = F.array_distinct(F.array(F.get(lines, 0), F.element_at(lines, -1)))
+    text = blocks.filter(F.col("block_type").isin(*TEXT_BLOCKS) & (F.trim("content") != "")).select("doc_id", "page", "id", F.explode(outer).alias("line")).filter(~F.col("line").rlike(r"[.!?。:;]\s*$"))
+    at_edge = text.join(edges, ["doc_id", "page"]).filter("id = lo or id = hi").select("doc_id", "line", F.lit(False).alias("sure"), "page")
 
     @F.pandas_udf(T.StringType())
     def _line_shape(s: pd.Series) -> pd.Series:
         return s.map(lambda x: line_shape(x) if _HAS_LETTERS.search(x) and not PAGE_LINE.match(x) else "")
 
-    lines = first.unionByName(typed).unionByName(at_edge).withColumn("head", _line_shape("line")).filter(F.length("head") >= 6)
-    pages = lines.groupBy("doc_id", "head", "page").agg(F.max("sure").alias("sure"))
-    heads = pages.groupBy("doc_id", "head").agg(F.max("sure").alias("sure"), F.count("*").alias("n"))
-    return heads.join(n_pages, "doc_id").filter("sure or (n >= 2 and 4 * n >= n_pages)").select("doc_id", "head")
+    shaped = first.unionByName(typed).unionByName(at_edge).withColumn("head", _line_shape("line")).filter(F.length("head") >= 6)
+    pages = shaped.groupBy("doc_id", "head", "page").agg(F.max("sure").alias("sure"))
+    row = F.row_number().over(Window.partitionBy("doc_id", "head").orderBy("page"))
+    runs = pages.withColumn("run", F.col("page") - row).groupBy("doc_id", "head", "run").agg(F.max("sure").alias("sure"), F.count("*").alias("n"))
+    heads = runs.groupBy("doc_id", "head").agg(F.max("sure").alias("sure"), F.sum("n").alias("n"), F.max("n").alias("longest"))
+    return heads.join(n_pages, "doc_id").filter("sure or longest >= 3 or (n >= 2 and 4 * n >= n_pages)").select("doc_id", "head")
 
 
 Mark = tuple[str, str, str]
 
 
 def _each_record(marks: Callable[[str, set[int]], Iterator[Mark]], *more: str) -> Callable:
-    """A function for mapInArrow: rows (rec_key, noise, key, fix) of the marks of each record."""
+    """A function for mapInArrow: rows (doc_id, rec_key, noise, key, fix) of the marks of each record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            take: list[int] = []
             out: tuple[list, ...] = ([], [], [], [])
-            for k, t, p, *rest in zip(*(b.column(c).to_pylist() for c in ("rec_key", "text", "pages", *more)), strict=True):
+            for i, (k, t, p, *rest) in enumerate(zip(*(b.column(c).to_pylist() for c in ("rec_key", "text", "pages", *more)), strict=True)):
                 for mark in marks(t, set(p or ()), *rest):
+                    take.append(i)
                     for col, x in zip(out, (k, *mark), strict=True):
                         col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], ["rec_key", "noise", "key", "fix"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(take, pa.int64())), *(pa.array(x, pa.string()) for x in out)], ["doc_id", "rec_key", "noise", "key", "fix"])
 
     return run
 
 
-_MARKS = "rec_key string, noise string, key string, fix string"
+_MARKS = "doc_id long, rec_key string, noise string, key string, fix string"
 
 
 def _words(text: str) -> set[str]:
@@ -322,8 +372,7 @@ def noise_marks(records: DataFrame, blocks: DataFrame) -> DataFrame:
                     yield "hyphen", pair, fix
             for w in _words(text) & misread.keys():
                 yield "glyph", w, misread[w]
-            if page_number_in(text, pages):
-                yield "page_no", "", ""
+            yield from page_marks(text, pages)
 
         inside = records.mapInArrow(_each_record(marks), _MARKS)
     else:
@@ -331,22 +380,66 @@ def noise_marks(records: DataFrame, blocks: DataFrame) -> DataFrame:
         def marks(text: str, pages: set[int]) -> Iterator[Mark]:
             yield from (("hyphen", f"{a} {b}", "") for a, b in set(cut_words(text)))
             yield from (("glyph", x, "") for x in _words(text) if could_be_misread(x))
-            if page_number_in(text, pages):
-                yield "page_no", "", ""
+            yield from page_marks(text, pages)
 
         rows = records.mapInArrow(_each_record(marks), _MARKS)
-        inside = rows.filter("key <> ''").drop("fix").join(wrong, ["noise", "key"]).select("rec_key", "noise", "key", "fix").unionByName(rows.filter("key = ''"))
-
-    def heads(text: str, pages: set[int], head: str) -> Iterator[Mark]:
-        found, number = header_in(text, head, pages)
-        if found:
-            yield "running_head", head, ""
-        if number:
-            yield "page_no", "", ""
+        inside = rows.filter("noise in ('hyphen', 'glyph')").drop("fix").join(wrong, ["noise", "key"]).select("doc_id", "rec_key", "noise", "key", "fix").unionByName(rows.filter("noise not in ('hyphen', 'glyph')"))
+    inside = written(inside, "scan_marks")
+
+    asked = inside.filter("noise = 'number'").select("doc_id", "rec_key", F.col("key").alias("kind"), F.explode(F.from_json("fix", "array<struct<page int, number int>>")).alias("x")).select("doc_id", "rec_key", "kind", "x.*")
+    shifted = asked.withColumn("shift", F.col("number") - F.col("page")).join(page_sequences(asked), ["doc_id", "kind", "shift"], "left_semi")
+    numbers = shifted.select("doc_id", "rec_key", F.lit("page_no").alias("noise"), F.col("number").cast("string").alias("key"), F.lit("").alias("fix"))
+    found = inside.filter("noise <> 'number'").unionByName(numbers)
+
+    def heads(text: str, pages: set[int], names: list[str]) -> Iterator[Mark]:
+        for head in heads_within(text, names):
+            running, number = header_in(text, head, pages)
+            if running:
+                yield "running_head", head, ""
+            if number:
+                yield "page_no", "", ""
 
     hot = hot_keys(records.select("doc_id"), "doc_id")
-    joined = salted_join(records, header_lines(blocks), "doc_id", "inner", hot=hot)
-    return inside.unionByName(joined.select("rec_key", "text", "pages", "head").mapInArrow(_each_record(heads, "head"), _MARKS))
+    joined = salted_join(records, head_groups(header_lines(blocks)), "doc_id", "inner", hot=hot)
+    return found.unionByName(joined.select("doc_id", "rec_key", "text", "pages", "heads").mapInArrow(_each_record(heads, "heads"), _MARKS)).drop("doc_id")
+
+
+def page_marks(text: str, pages: set[int]) -> Iterator[Mark]:
+    """A mark if the text holds the number of its page, and one per kind with its other numbers that stand alone and its pages."""
+    if page_number_in(text, pages):
+        yield "page_no", "", ""
+    by: dict[str, list[dict]] = {}
+    for kind, n in numbers_alone(text) if pages else ():
+        by.setdefault(kind, []).extend({"page": p, "number": n} for p in pages if kind == "r" or n != p)
+    for kind, pairs in by.items():
+        if pairs:
+            yield "number", kind, json.dumps(pairs)
+
+
+#: Header lines of a document that go with its records in one row; a document with more of them gets more rows.
+HEADS_A_ROW = 256
+
+
+def head_groups(heads: DataFrame) -> DataFrame:
+    """doc_id, heads: the header lines of each document in groups, so that its records meet few rows and each row stays small."""
+    n = heads.groupBy("doc_id").agg(F.ceil(F.count("*") / HEADS_A_ROW).alias("n_groups"))
+    return heads.join(n, "doc_id").groupBy("doc_id", F.pmod(F.xxhash64("head"), F.col("n_groups")).alias("group")).agg(F.collect_list("head").alias("heads")).select("doc_id", "heads")
+
+
+@lru_cache(maxsize=64)
+def _heads_by_token(names: tuple[str, ...]) -> tuple[dict[str, list[str]], list[str]]:
+    by: dict[str, list[str]] = {}
+    for h in names:
+        by.setdefault(h.split(" ")[0], []).append(h)
+    return by, [h for h in names if _HAN.search(h)]
+
+
+def heads_within(text: str, names: list[str]) -> list[str]:
+    """The header lines whose first token the text has; Chinese ones stand without blanks and are all tried."""
+    by, han = _heads_by_token(tuple(names))
+    if "<|txt_" in text:
+        text = text.replace("<|txt_split|>", " ").replace("<|txt_contd|>", " ")
+    return [*(h for t in {*map(token_shape, text.split())} & by.keys() for h in by[t] if h not in han), *han]
 
 
 def noisy_records(blocks: DataFrame, trees: DataFrame) -> DataFrame:
@@ -383,13 +476,14 @@ def repair(text: str, fixes: dict[tuple[str, str], str], pages: set[int]) -> str
 
     A blank line ends a paragraph, unless only a header or page number stood between its two parts.
     """
+    pages = pages | {int(k) for n, k in fixes if n == "page_no" and k}  # numbers of a sequence, at any offset from the page
     heads = [k for n, k in fixes if n == "running_head"]
     has_page = any(n == "page_no" for n, _ in fixes)
     lines: list[str] = []
     gap = False
     for line in re.split(r"\r\n|[\n\r]", text):
         s = line_shape(line) if heads else ""
-        if s and s in heads or PAGE_LINE.match(line) and page_number_in(line, pages):
+        if s and s in heads or PAGE_LINE.match(line) and page_number_in(line, pages) or (m := _ROMAN_LINE.match(line)) and has_page and roman(m[1]) in pages:
             while lines and not lines[-1].strip():
                 lines.pop()
             gap = True

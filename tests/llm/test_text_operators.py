@@ -77,6 +77,28 @@ def test_scan_noise(spark, monkeypatch, limit):
     assert scans.noisy_records(scan_blocks(spark).limit(0), trees).count() == 0
 
 
+def test_page_sequences_and_headers_inside_blocks(spark):
+    """Printed numbers twelve ahead of the page, Roman ones, and a header that is the first line of longer blocks."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rows = [(p, 1, p, p, "text", f"The {words[p]} chapter of records\nsome text about {words[p]} and more\n\n{p + 12}", "", "") for p in range(1, 8)]
+    rows += [(20 + p, 2, p, p, "text", f"text about {words[p]}\n\n{n}", "", "") for p, n in enumerate(("v", "vi", "vii", "viii"), 1)]
+    rows += [(30 + p, 3, p, p, "text", f"NORTHERN TOWNS REP{'0' if p == 2 else 'O'}RT\nwe saw {words[p]} there.", "", "") for p in range(1, 5)]
+    rows += [(40 + p, 4, p, p, "text", f"number of {words[p]}\n\n{n}", "", "") for p, n in enumerate((70, 3, 55, 90), 1)]
+    blocks, trees = spark.createDataFrame(rows, BLOCKS), spark.createDataFrame([], TREES)
+    got = {tuple(r) for r in scans.noisy_records(blocks, trees).collect()}
+    assert {k for k, n in got if n == "page_no"} == {f"b:{p}" for p in range(1, 8)} | {f"b:{20 + p}" for p in range(1, 5)}
+    assert {k for k, n in got if n == "running_head"} >= {f"b:{30 + p}" for p in range(1, 5)}
+    fixed = {r.rec_key: r.text for r in scans.repaired(blocks, trees).collect()}
+    assert fixed["b:21"] == "text about beta" and fixed["b:32"] == "we saw gamma there." and fixed["b:42"] == "number of gamma\n\n3"
+    assert [scans.roman(x) for x in ("iv", "XIX", "xlii")] == [4, 19, 42]
+
+
+def test_misread_words_in_capitals(spark):
+    words = [("government", 90), ("Govemment", 1), ("REP0RT", 1), ("report", 80), ("class", 50), ("cIass", 2), ("Class", 3), ("GOVERNMENT", 2)]
+    got = {tuple(r) for r in scans.misread_words(spark.createDataFrame(words, "word string, n long")).collect()}
+    assert got == {("Govemment", "government"), ("REP0RT", "report"), ("cIass", "class")}
+
+
 def test_repair(spark):
     trees = spark.createDataFrame([], TREES)
     got = {r.rec_key: r.text for r in scans.repaired(scan_blocks(spark), trees).collect()}
