@@ -1,4 +1,4 @@
-"""Command line: normalize, requests, tree and preview of Parquet or vendor folders."""
+"""Command line: normalize, requests, annotate, tree, preview, evaluate and cases of Parquet or vendor folders."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import functions as F
 
-from leafwright.operators import candidates, chunking, normalize, prompts, tree
+from leafwright.operators import annotate, candidates, cases, chunking, evaluate, normalize, prompts, tree
 from leafwright.runtime import session
 from leafwright.sources import sinks, vendors
 
@@ -20,7 +20,7 @@ def main(args: list[str] | None = None) -> None:
     n.add_argument("--output", required=True)
     n.add_argument("--format", choices=("parquet", *sinks.FORMATS), default="parquet")
     n.add_argument("--limit", type=int, default=0, help="so many documents in order; 0: all")
-    for name, text in (("requests", "requests to the model of annotated blocks"), ("tree", "node tables of annotated blocks"), ("preview", "previews of annotated blocks")):
+    for name, text in (("requests", "requests to the model of annotated blocks"), ("tree", "node tables of annotated blocks"), ("preview", "previews of annotated blocks"), ("annotate", "links, levels and table merges onto normalized blocks, by a model"), ("evaluate", "scores of title trees against ground truth"), ("cases", "training cases of labelled titles, and relation records")):
         s = sub.add_parser(name, help=text)
         s.add_argument("--input", required=True)
         s.add_argument("--output", required=True)
@@ -28,6 +28,14 @@ def main(args: list[str] | None = None) -> None:
             s.add_argument("--task", choices=("contd", "title", "image"), required=True)
             s.add_argument("--resume", help="log of answers; requests that it answers are left out")
             s.add_argument("--dry-run", action="store_true", help="only validate the blocks")
+        elif name == "annotate":
+            s.add_argument("--url", help="a chat endpoint; without one fixed rules answer")
+            s.add_argument("--model", default="", help="the endpoint's model")
+            s.add_argument("--json", action="store_true", help="a JSON object per document instead of Parquet")
+        elif name == "evaluate":
+            s.add_argument("--truth", required=True, help="Parquet of doc_id, prompt, label")
+            s.add_argument("--status", required=True, help="Parquet of doc_id, model, status")
+            s.add_argument("--mode", choices=evaluate.MODES, default="content_aware")
     a = p.parse_args(args)
     spark = session("leafwright")
     if a.stage == "normalize":
@@ -50,11 +58,26 @@ def main(args: list[str] | None = None) -> None:
         if a.resume:
             asked = prompts.unanswered(asked, spark.read.parquet(a.resume))
         asked.write.mode("overwrite").parquet(a.output)
+    elif a.stage == "annotate":
+        out = annotate.annotated(blocks, (lambda: prompts.HttpModel(a.url, a.model)) if a.url else prompts.RuleModel)
+        if a.json:
+            sinks.write_documents(sinks.annotated_json(out), a.output)
+        else:
+            out.write.mode("overwrite").parquet(a.output)
+    elif a.stage == "evaluate":
+        details = evaluate.details(spark.read.parquet(a.truth), blocks, a.mode)
+        sinks.write_evaluation(details, evaluate.summary(details.select("doc_id", "score"), spark.read.parquet(a.status)), a.output)
+    elif a.stage == "cases":
+        titles = blocks.filter("type = 'title'")
+        labels = titles.filter("level >= 0").select("doc_id", (F.col("id") - 1).alias("idx"), "level")
+        sinks.write_cases(cases.cases(candidates.title_rows(titles), labels, "title"), f"{a.output}/titles")
+        sinks.write_cases(cases.relation_records(cases.relations(blocks)), f"{a.output}/relations")
     elif a.stage == "tree":
         tree.tree(blocks).write.mode("overwrite").parquet(a.output)
     else:
         lines = tree.preview(tree.tree(blocks))
-        lines.repartition("doc_id").sortWithinPartitions("doc_id", "path").select("doc_id", F.col("line").alias("value")).write.mode("overwrite").partitionBy("doc_id").text(a.output)
+        # files of many documents, the lines of each together and in order; a folder per document would not scale
+        lines.repartition("doc_id").sortWithinPartitions("doc_id", "path").select(F.concat(F.col("doc_id").cast("string"), F.lit("\t"), F.regexp_replace("line", r"[\r\n]", " ")).alias("value")).write.mode("overwrite").text(a.output)
 
 
 if __name__ == "__main__":

@@ -31,9 +31,13 @@ class Table:
         return "<table>" + "".join("<tr>" + "".join(c.render() for c in r) + "</tr>" for r in self.rows) + "</table>"
 
 
-def _span(v: str | None) -> int:
+#: The largest spans that HTML knows.
+MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
+
+
+def _span(v: str | None, most: int) -> int:
     try:
-        return max(1, min(int(v or 1), 1000))
+        return max(1, min(int(v or 1), most))
     except ValueError:
         return 1
 
@@ -51,7 +55,7 @@ class _Reader(HTMLParser):
             self.table.rows.append([])
         elif tag in ("td", "th"):
             a = dict(attrs)
-            self.cell = Cell(tag == "th", _span(a.get("colspan")), _span(a.get("rowspan")))
+            self.cell = Cell(tag == "th", _span(a.get("colspan"), MAX_COLSPAN), _span(a.get("rowspan"), MAX_ROWSPAN))
             if not self.table.rows:
                 self.table.rows.append([])
             self.table.rows[-1].append(self.cell)

@@ -125,14 +125,12 @@ def caption_number(caption: Column) -> Column:
 def _clean_caption(caption: Column) -> Column:
     """Lower case without marks of continuation at the end, letters and digits only."""
     marks = "|".join(re.escape(m.lower()) for m in CONTINUED_AT_END)
-    return F.regexp_replace(F.regexp_replace(F.lower(X.nfkc(caption)), f"(?:{marks})+$", ""), r"[^\w\x{4e00}-\x{9fa5}]", "")
+    return F.regexp_replace(F.regexp_replace(F.lower(X.nfkc(caption)), f"(?:{marks})+$", ""), r"[^\p{L}\p{M}\p{N}_]", "")
 
 
-def screened_pairs(blocks: DataFrame) -> DataFrame:
-    """doc_id, upper_idx, lower_idx, reason of all table pairs; reason is null where the tables may be one.
-
-    Checks in order: text between, captions, mark of continuation, footnotes, widths.
-    """
+def pair_checks(blocks: DataFrame) -> DataFrame:
+    """What the screen looks at, a row per table pair: doc_id, upper_idx, lower_idx, text_after, text_before, cap1, cap2, number1,
+    number2, differ, marked, notes (footnotes after the upper table), width1, width2."""
     pairs = table_pairs(blocks)
     page = blocks.filter(F.col("type").isin("text", "list_item", "list")).groupBy("doc_id", "page").agg(F.max("id").alias("last_text"), F.min("id").alias("first_text"))
     place = blocks.filter("type = 'table'").select("doc_id", (F.col("id") - 1).alias("idx"), "page", B.four(F.col("bbox")).alias("box"))
@@ -156,13 +154,37 @@ def screened_pairs(blocks: DataFrame) -> DataFrame:
     for mark in CONTINUED_AT_END:
         marked = marked | low.endswith(mark.lower())
     w1, w2 = width("ub"), width("lb")
+    no = F.lit(False)
+    return p.select(
+        "doc_id", "upper_idx", "lower_idx", F.coalesce(F.col("after") > F.col("upper_idx") + 1, no).alias("text_after"), F.coalesce(F.col("before") < F.col("lower_idx") + 1, no).alias("text_before"), "cap1", "cap2",
+        n1.alias("number1"), n2.alias("number2"), F.coalesce(has1 & has2 & differ, no).alias("differ"), F.coalesce(marked, no).alias("marked"), notes.alias("notes"), w1.alias("width1"), w2.alias("width2"),
+    )
+
+
+def screened_pairs(blocks: DataFrame) -> DataFrame:
+    """doc_id, upper_idx, lower_idx, reason of all table pairs; reason is null where the tables may be one.
+
+    Checks in order: text between, captions, mark of continuation, footnotes, widths, columns. Contents are read for the last
+    one only, of the pairs that are left.
+    """
+    from leafwright.operators.tables import columns_match
+
+    p = pair_checks(blocks)
+    has1, has2 = F.coalesce(F.col("cap1") != "", F.lit(False)), F.coalesce(F.col("cap2") != "", F.lit(False))
+    w1, w2, notes, differ, marked = (F.col(c) for c in ("width1", "width2", "notes", "differ", "marked"))
     reason = (
-        F.when(F.coalesce(F.col("after") > F.col("upper_idx") + 1, F.lit(False)), "text after upper table")
-        .when(F.coalesce(F.col("before") < F.col("lower_idx") + 1, F.lit(False)), "text before lower table")
+        F.when(F.col("text_after"), "text after upper table")
+        .when(F.col("text_before"), "text before lower table")
         .when(has2 & ~has1, "caption of lower table only")
         .when(has1 & has2 & differ, "captions differ")
         .when(has2 & ~marked, "no mark of continuation")
         .when(notes > F.when(has2, 1).otherwise(0), "footnotes")
         .when((F.least(w1, w2) > 0) & (F.abs(w1 - w2) / F.least(w1, w2) >= 0.1), "widths differ")
     )
-    return p.select("doc_id", "upper_idx", "lower_idx", reason.alias("reason"))
+    p = p.select("doc_id", "upper_idx", "lower_idx", reason.alias("reason"))
+    html = blocks.filter("type = 'table' and content <> ''").select("doc_id", (F.col("id") - 1).alias("idx"), "content")
+    left = p.filter("reason is null").drop("reason")
+    left = left.join(html.select("doc_id", F.col("idx").alias("upper_idx"), F.col("content").alias("a")), ["doc_id", "upper_idx"], "left")
+    left = left.join(html.select("doc_id", F.col("idx").alias("lower_idx"), F.col("content").alias("b")), ["doc_id", "lower_idx"], "left")
+    agree = F.col("a").contains("<tr") & F.col("b").contains("<tr") & columns_match(F.coalesce("a", F.lit("")), F.coalesce("b", F.lit("")))
+    return p.filter("reason is not null").unionByName(left.select("doc_id", "upper_idx", "lower_idx", F.when(~F.coalesce(agree, F.lit(False)), "columns differ").alias("reason")))

@@ -12,6 +12,9 @@ def page_chunks(pages: list[int], counts: list[int], size: int = 50, overlap: in
     """Ranges of pages. Each border is the page with most items within `reach` of the wanted size, the first of equals;
     without items there the next page with items, else the last. Ranges reach over the border by overlap.
 
+    A border lies behind the one before it, whatever size and reach are. If the last range, taken from the last border less the overlap,
+    has more than three pages, it comes once more by itself.
+
     single: whether items all on one page give one range; otherwise they give none.
     """
     have = dict(zip(pages, counts, strict=True))
@@ -24,13 +27,15 @@ def page_chunks(pages: list[int], counts: list[int], size: int = 50, overlap: in
     out: list[tuple[int, int]] = []
     border = first
     while border < last:
-        near = [p for p in at if max(first, border + size - reach) <= p <= min(last, border + size + reach)]
+        near = [p for p in at if max(first, border + size - reach) <= p <= min(last, border + size + reach) and p > border]
         if near:
             to = max(near, key=lambda p: (have[p], -p))
         else:
             to = next((p for p in at if p > border + size), last)
         out.append((first if not out else border - overlap, min(last, to + overlap)))
         border = to
+    if last - (border - overlap) > 2:
+        out.append((border - overlap, last))
     return out
 
 
@@ -51,7 +56,8 @@ def chunk_ranges(items: DataFrame, size: int = 50, overlap: int = 1, reach: int
 
 def chunk_items(items: DataFrame, ranges: DataFrame) -> DataFrame:
     """items with chunk_no: each item once for every range its page is in."""
-    return items.join(ranges, "doc_id").filter(F.col("page").between(F.col("start"), F.col("end"))).drop("start", "end")
+    pages = ranges.select("doc_id", "chunk_no", F.explode(F.sequence("start", "end")).alias("page"))
+    return items.join(pages, ["doc_id", "page"]).select(*items.columns, "chunk_no")
 
 
 def chunk_pages(chunked: DataFrame) -> DataFrame:

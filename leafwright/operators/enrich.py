@@ -11,7 +11,7 @@ _MARK = r"<\|txt_split\|>|<\|txt_contd\|>"
 
 
 def subnodes(nodes: DataFrame, keys: tuple[str, ...] = ("doc_id", "node"), most: int = 500) -> DataFrame:
-    """keys, sub_no, title, content, block_ids: text nodes over `most` characters as sub-nodes.
+    """keys, sub_no, title, content, block_ids, and locations if nodes have them: text nodes over `most` characters as sub-nodes.
 
     Segments are added until a sub-node has more than `most`; a node that stays whole has none. The title's block
     goes with every sub-node; under the default title block ids belong to the segments only. Empty segments are left
@@ -35,8 +35,10 @@ def subnodes(nodes: DataFrame, keys: tuple[str, ...] = ("doc_id", "node"), most:
     numbered = F.transform(segments, lambda s, i: F.struct(s.alias("text"), (i + 1).cast("int").alias("no")))
     subs = n.withColumn("subs", F.aggregate(numbered, start, add, finish)).filter(F.size("subs") > 1)
     default = F.col("title") == DEFAULT_TITLE
-    ids = F.when(default, F.transform("s.ids", lambda i: F.get("block_ids", i - 1))).otherwise(F.concat(F.array(F.get("block_ids", 0)), F.transform("s.ids", lambda i: F.get("block_ids", i))))
-    return subs.select(*keys, "title", "block_ids", F.posexplode("subs").alias("no", "s")).select(*keys, (F.col("no") + 1).alias("sub_no"), F.concat("title", F.lit("_"), F.col("no") + 1).alias("title"), F.col("s.text").alias("content"), F.filter(ids, lambda i: i.isNotNull()).alias("block_ids"))
+    own = ["block_ids", *(["locations"] if "locations" in nodes.columns else [])]
+    of = lambda c: F.when(default, F.transform("s.ids", lambda i: F.get(c, i - 1))).otherwise(F.concat(F.array(F.get(c, 0)), F.transform("s.ids", lambda i: F.get(c, i))))
+    kept = [F.filter(of(c), lambda x: x.isNotNull()).alias(c) for c in own]
+    return subs.select(*keys, "title", *own, F.posexplode("subs").alias("no", "s")).select(*keys, (F.col("no") + 1).alias("sub_no"), F.concat("title", F.lit("_"), F.col("no") + 1).alias("title"), F.col("s.text").alias("content"), *kept)
 
 
 def child_relation(nodes: DataFrame) -> DataFrame:

@@ -100,6 +100,18 @@ def tree_scores(truth: DataFrame, predicted: DataFrame) -> DataFrame:
     return both.select("doc_id", score("a", "b").alias("score"))
 
 
+def details(truth: DataFrame, blocks: DataFrame, mode: str = "content_aware", least: float = 0.35) -> DataFrame:
+    """doc_id, score, n_truth, n_predicted, n_matched of every document of truth (doc_id, prompt, label); blocks carry
+    boxes in thousandths. Without a match the predicted tree is empty."""
+    titles = truth_titles(truth)
+    matches = matched(alignment(titles, blocks, least))
+    predicted = predicted_titles(matches, blocks)
+    scores = tree_scores(labelled(truth_levels(truth), titles, mode), labelled(predicted, titles, mode))
+    n = lambda df, name: df.groupBy("doc_id").agg(F.count("*").alias(name))
+    out = scores.join(n(titles, "n_truth"), "doc_id", "left").join(n(blocks.filter("type = 'title'"), "n_predicted"), "doc_id", "left").join(n(matches, "n_matched"), "doc_id", "left")
+    return out.fillna(0, ["n_truth", "n_predicted", "n_matched"])
+
+
 def summary(scores: DataFrame, status: DataFrame) -> DataFrame:
     """model, n_docs, n_ok, mean_ok, mean_all: the mean over documents that could be read, and with the others as 0."""
     s = status.join(scores, "doc_id", "left")

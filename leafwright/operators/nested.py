@@ -39,10 +39,13 @@ def _is_node(v: object) -> bool:
     return isinstance(v, dict) and ("type" in v or "children" in v or "block_ids" in v or "title" in v)
 
 
-def tree_roots(payload: object, unwrap: int = 8) -> list[dict]:
-    """The root nodes of a payload: a node, a list of nodes, either as a JSON string once more or inside an envelope."""
+def tree_roots(payload: object) -> list[dict]:
+    """The root nodes of a payload: a node, a list of nodes, either as a JSON string once more or inside envelopes, however many.
+
+    An envelope with several nodes has as many roots; every layer is smaller than the one around it, so this ends.
+    """
     value = payload
-    for _ in range(unwrap):
+    while value is not None:
         if isinstance(value, (str, bytes)):
             value = _loads(value)
         elif isinstance(value, list):
@@ -54,7 +57,10 @@ def tree_roots(payload: object, unwrap: int = 8) -> list[dict]:
             if _is_node(value):
                 return [value]
             inside = [v for v in value.values() if isinstance(v, (dict, list)) or (isinstance(v, str) and v[:1] in "{[\"" and v[:1])]
-            value = next((v for v in inside if _is_node(v)), inside[0] if inside else None)
+            nodes = [v for v in inside if _is_node(v)]
+            if nodes:
+                return nodes
+            value = inside[0] if inside else None
         else:
             return []
     return []
@@ -84,6 +90,15 @@ def _whole(v: object) -> int | None:
     return n if -(2**31) <= n < 2**31 else None
 
 
+def _number(v: object) -> float | None:
+    if isinstance(v, bool):
+        return None
+    try:
+        return float(v)
+    except (TypeError, ValueError, OverflowError):
+        return None
+
+
 def _ids(v: object) -> list[int]:
     """Block ids in stored order, each once; single values, digit strings and nested lists count as well."""
     out: list[int] = []
@@ -108,7 +123,7 @@ def _places(v: object) -> list[dict]:
     for x in [v] if isinstance(v, dict) else v if isinstance(v, list) else []:
         if isinstance(x, dict):
             box = x.get("bbox")
-            box = [float(b) for b in box if isinstance(b, (int, float)) and not isinstance(b, bool)] if isinstance(box, list) else None
+            box = [_number(b) for b in box] if isinstance(box, list) else None  # every entry keeps its place
             out.append({"bbox": box, "page": _whole(x.get("page"))})
     return out
 

@@ -87,7 +87,7 @@ class RuleModel:
         return [self.one(p) for p in prompts]
 
     def one(self, prompt: str) -> str:
-        rows = [(int(x.split("<|page|>")[0].split("<|type|>")[0][6:]), x) for x in prompt[max(0, prompt.find("<|id|>")) :].split("\n") if x.startswith("<|id|>")]
+        rows = [(int(x.split("<|page|>")[0].split("<|type|>")[0][6:]), x) for x in prompt[max(0, prompt.find("<|id|>")) :].split("\n") if x.startswith("<|id|>") and "<|page|>" in x]
         if prompt.startswith(HEADS["title"]):
             return "\n".join(f"<|id|>{i}<|level|>{-1 if i % 7 == 0 else 1 + i % 4}" for i, _ in rows)
         if prompt.startswith(HEADS["contd"]):
@@ -123,9 +123,14 @@ class HttpModel:
 
 
 def answered(requests: DataFrame, make_client, tasks: int | None = None) -> DataFrame:
-    """requests (.., prompt) with response. Write the result before using it twice: a model may answer differently."""
-    keep = [f for f in requests.schema.fields if f.name != "prompt"]
-    src = requests.withColumn("prompt", F.substring("prompt", 1, PROMPT_LIMIT))
+    """requests (.., prompt) with request_id, lost and response. Write the result before using it twice: a model may answer differently.
+
+    request_id is a hash of the whole request, lost the number of its characters beyond PROMPT_LIMIT, which are not sent; smaller
+    chunks avoid such requests.
+    """
+    whole = requests.withColumns({"request_id": F.sha2("prompt", 256), "lost": F.greatest(F.length("prompt") - PROMPT_LIMIT, F.lit(0)), "prompt": F.substring("prompt", 1, PROMPT_LIMIT)})
+    keep = [f for f in whole.schema.fields if f.name != "prompt"]
+    src = whole
     if tasks:
         src = src.repartition(tasks, F.xxhash64("prompt"))
     schema = T.StructType([*keep, T.StructField("prompt", T.StringType()), T.StructField("response", T.StringType())])
@@ -141,5 +146,6 @@ def answered(requests: DataFrame, make_client, tasks: int | None = None) -> Data
 
 
 def unanswered(requests: DataFrame, log: DataFrame) -> DataFrame:
-    """Requests whose prompt has no answer in the log, by its hash."""
-    return requests.withColumn("__h", F.sha2("prompt", 256)).join(log.filter("response <> ''").select(F.sha2("prompt", 256).alias("__h")).distinct(), "__h", "left_anti").drop("__h")
+    """Requests that have no answer in the log, by the hash of the whole request (of the logged prompt in logs without one)."""
+    known = F.col("request_id") if "request_id" in log.columns else F.sha2("prompt", 256)
+    return requests.withColumn("__h", F.sha2("prompt", 256)).join(log.filter("response <> ''").select(known.alias("__h")).distinct(), "__h", "left_anti").drop("__h")

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafwright.functions import html_table as H
+from leafwright.functions import text as X
 from leafwright.runtime import fold_sorted
 
+PLACE = "struct<bbox: array<double>, page: int>"
 _CELL = "row int, cell int, col int, colspan int, rowspan int, is_head boolean, text string"
 
 
@@ -64,9 +67,19 @@ def header_rows(pairs: DataFrame, cells: DataFrame, most: int = 5) -> DataFrame:
     return g.select("doc_id", "upper_id", "lower_id", F.coalesce("stop", F.col("last") + 1).alias("n_header"))
 
 
-def _udf(kind: T.DataType):
-    import pandas as pd
+def visual_header_rows(pairs: DataFrame, cells: DataFrame, most: int = 5) -> DataFrame:
+    """doc_id, upper_id, lower_id, n_header: equal first rows of both tables, compared by their texts in order and by the last column
+    that each row takes, spans from rows above included; where spans stand does not count. A pair whose first rows differ has 0."""
+    texts = cells.groupBy("doc_id", "id", "row").agg(F.array_sort(F.collect_list(F.struct("cell", F.regexp_replace(X.nfkc(F.col("text")), r"\s", "").alias("t")))).alias("t"))
+    shape = texts.join(row_shapes(cells).select("doc_id", "id", "row", "effective"), ["doc_id", "id", "row"]).filter(F.col("row") < most).select("doc_id", "id", "row", F.struct(F.transform("t", lambda x: x["t"]).alias("t"), "effective").alias("v"))
+    up = pairs.join(shape.select("doc_id", F.col("id").alias("upper_id"), "row", F.col("v").alias("a")), ["doc_id", "upper_id"])
+    low = pairs.join(shape.select("doc_id", F.col("id").alias("lower_id"), "row", F.col("v").alias("b")), ["doc_id", "lower_id"])
+    both = up.join(low, ["doc_id", "upper_id", "lower_id", "row"], "full")
+    g = both.groupBy("doc_id", "upper_id", "lower_id").agg(F.min(F.when(~F.col("a").eqNullSafe(F.col("b")), F.col("row"))).alias("stop"), F.max("row").alias("last"))
+    return g.select("doc_id", "upper_id", "lower_id", F.coalesce("stop", F.col("last") + 1).alias("n_header"))
 
+
+def _udf(kind: T.DataType):
     def wrap(f):
         @F.pandas_udf(kind)
         def g(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -99,36 +112,42 @@ def merge_prompts(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def merged_tables(blocks: DataFrame) -> DataFrame:
-    """doc_id, head_id, content, member_ids: chains of tables joined top to bottom into their first table.
+    """doc_id, head_id, content, member_ids, locations: chains of tables joined top to bottom into their first table, with the place of each.
 
     blocks carry table_merge (the partner's id) and cell_list on both sides of a pair. A chain is followed in reading
     order, so that tables over three pages and more keep all their rows.
     """
-    t = blocks.filter("type = 'table'").select("doc_id", "id", "content", "table_merge", "cell_list")
+    from leafwright.operators.tree import place
+
+    t = blocks.filter("type = 'table'").select("doc_id", "id", "content", "table_merge", "cell_list", place(blocks).alias("place"))
     down = t.filter("table_merge > id").select("doc_id", F.col("table_merge").alias("id"), F.col("id").alias("up_id"), F.col("cell_list").alias("flags"))
     chain = t.join(down, ["doc_id", "id"], "left").filter("up_id is not null or table_merge > id")
 
     def step(state, r):
         out = None
         if state and (r is None or r["up_id"] is None or r["up_id"] not in state["ids"]):
-            out = [(state["doc"], state["ids"][0], state["html"], state["ids"])] if len(state["ids"]) > 1 else None
+            out = [(state["doc"], state["ids"][0], state["html"], state["ids"], state["places"])] if len(state["ids"]) > 1 else None
             state.clear()
         if r is None:
             return out
         if not state:
-            state.update(doc=r["doc_id"], ids=[r["id"]], html=r["content"] or "")
+            state.update(doc=r["doc_id"], ids=[r["id"]], html=r["content"] or "", places=[r["place"]])
         else:
             state["html"] = H.merge_tables(state["html"], r["content"], r["flags"])
-            state["ids"] = [*state["ids"], r["id"]]
+            state["ids"].append(r["id"])
+            state["places"].append(r["place"])
         return out
 
-    return fold_sorted(chain, ["doc_id"], ["id"], dict, step, ["content", "up_id", "flags"], "doc_id long, head_id int, content string, member_ids array<int>")
+    return fold_sorted(chain, ["doc_id"], ["id"], dict, step, ["content", "up_id", "flags", "place"], f"doc_id long, head_id int, content string, member_ids array<int>, locations array<{PLACE}>")
 
 
 def without_parts(blocks: DataFrame, merged: DataFrame) -> DataFrame:
-    """blocks with merged tables: the first has the whole content, its parts are gone, links to parts lead to it."""
-    parts = merged.select("doc_id", "head_id", F.explode(F.slice("member_ids", 2, 1_000_000)).alias("part"))
+    """blocks with merged tables: the first has the whole content, its parts are gone, links to parts lead to it.
+
+    merged_ids and merged_locations hold the parts' ids and places; they are null for all other blocks.
+    """
+    parts = merged.select("doc_id", "head_id", F.explode(F.slice("member_ids", F.lit(2), F.size("member_ids"))).alias("part"))
     out = blocks.join(parts.select("doc_id", F.col("part").alias("id")), ["doc_id", "id"], "left_anti")
-    out = out.join(merged.select("doc_id", F.col("head_id").alias("id"), F.col("content").alias("__whole")), ["doc_id", "id"], "left").withColumn("content", F.coalesce("__whole", "content")).drop("__whole")
+    out = out.join(merged.select("doc_id", F.col("head_id").alias("id"), F.col("content").alias("__whole"), F.col("member_ids").alias("merged_ids"), F.col("locations").alias("merged_locations")), ["doc_id", "id"], "left").withColumn("content", F.coalesce("__whole", "content")).drop("__whole")
     moved = parts.select("doc_id", F.col("part").alias("image"), F.col("head_id").alias("__to"))
     return out.join(moved, ["doc_id", "image"], "left").withColumn("image", F.coalesce("__to", "image")).drop("__to")

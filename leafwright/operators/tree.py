@@ -22,6 +22,11 @@ SPLIT, CONTD = "<|txt_split|>", "<|txt_contd|>"
 DEEPEST = 100
 
 
+def place(blocks: DataFrame) -> Column:
+    """bbox and page of a block as one location; nulls where the table has no such columns."""
+    return F.struct(*[F.col(c) if c in blocks.columns else F.lit(None).cast(t).alias(c) for c, t in (("bbox", "array<double>"), ("page", "int"))])
+
+
 def retyped(blocks: DataFrame) -> DataFrame:
     """Text with a supplement's source label takes the supplement's type; titles without a level are text."""
     table = F.create_map(*[F.lit(x) for kv in SUPPLEMENTS.items() for x in kv])
@@ -43,23 +48,33 @@ def _parts(blocks: DataFrame) -> DataFrame:
 
 
 def text_components(blocks: DataFrame) -> DataFrame:
-    """doc_id, comp_id (its title's id, 0 for the lead-in), title, content, level, block_ids, n_blocks.
+    """doc_id, comp_id (its title's id, 0 for the lead-in), title, content, level, block_ids, locations, n_blocks.
 
     The texts of a component are joined in order; the lead-in exists if it has a text, or nothing else exists.
     A component is as large as the section; a section is text that one node's content holds.
     """
     p = _parts(blocks)
-    entry = F.struct("id", "mark", "content", "is_title")
+    entry = F.struct("id", "mark", "content", "is_title", place(p).alias("place"))
     g = p.groupBy("doc_id", "title_id").agg(F.array_sort(F.collect_list(entry)).alias("parts"), F.max(F.when(F.col("is_title"), F.struct("content", "level"))).alias("t"))
     texts = F.filter("parts", lambda x: ~x["is_title"])
-    joined = F.aggregate(texts, F.lit(""), lambda acc, x: F.when(acc == "", x["content"]).otherwise(F.concat(acc, x["mark"], x["content"])))
+    first = F.array_position(F.transform("texts", lambda x: x["content"] != ""), True)  # from there on marks stand between texts
+    joined = F.array_join(F.transform("texts", lambda x, i: F.when(i + 1 <= first, x["content"]).otherwise(F.concat(F.when(first > 0, x["mark"]).otherwise(""), x["content"]))), "")
     title = F.coalesce(F.col("t.content"), F.lit(DEFAULT_TITLE))
-    out = g.select("doc_id", F.col("title_id").alias("comp_id"), title.alias("title"), joined.alias("content"), F.coalesce(F.col("t.level"), F.lit(1)).alias("level"), F.transform("parts", lambda x: x["id"]).alias("block_ids"))
+    out = g.withColumn("texts", texts).select("doc_id", F.col("title_id").alias("comp_id"), title.alias("title"), joined.alias("content"), F.coalesce(F.col("t.level"), F.lit(1)).alias("level"), F.transform("parts", lambda x: x["id"]).alias("block_ids"), F.transform("parts", lambda x: x["place"]).alias("locations"))
     lead_only = out.groupBy("doc_id").agg(F.max("comp_id").alias("most"))
     out = out.join(lead_only, "doc_id").filter((F.col("comp_id") > 0) | (F.col("content") != "") | (F.col("most") == 0)).drop("most")
     return out.withColumn("n_blocks", F.size("block_ids"))
 
 
+def component_levels(blocks: DataFrame) -> DataFrame:
+    """doc_id, comp_id, level of the text components, without their texts: all that nesting needs."""
+    flag = F.when(F.coalesce("content", F.lit("")) != "", "x").otherwise("")
+    p = _parts(blocks.select("doc_id", "id", "type", "level", "contd", "source_label", flag.alias("content")))
+    g = p.groupBy("doc_id", "title_id").agg(F.max(F.when(F.col("is_title"), F.col("level"))).alias("level"), F.bool_or(F.col("is_text") & (F.col("content") != "")).alias("filled"))
+    most = g.groupBy("doc_id").agg(F.max("title_id").alias("most"))
+    return g.join(most, "doc_id").filter("title_id > 0 or filled or most = 0").select("doc_id", F.col("title_id").alias("comp_id"), F.coalesce("level", F.lit(1)).alias("level"))
+
+
 def _nesting(level: Column) -> Column:
     return F.when(level > 0, level).otherwise(DEEPEST)
 
@@ -115,13 +130,19 @@ def parents(components: DataFrame, run_length: int = RUN_LENGTH) -> DataFrame:
 
 
 def visual_components(blocks: DataFrame) -> DataFrame:
-    """doc_id, vis_id, type, title, metadata, content, link, block_ids: visual blocks with their captions and footnotes."""
+    """doc_id, vis_id, type, title, metadata, content, link, block_ids, locations: visual blocks with their captions and footnotes.
+
+    A merged table (merged_ids, merged_locations of `tables.without_parts`) has the ids and places of all its parts.
+    """
     b = retyped(blocks).withColumn("content", F.coalesce("content", F.lit("")))
-    v = b.filter(F.col("type").isin(*COMPONENTS)).select("doc_id", F.col("id").alias("vis_id"), "type", "content", F.col("image").alias("link"))
+    merged = "merged_ids" in blocks.columns
+    ids = F.coalesce("merged_ids", F.array("id")) if merged else F.array("id")
+    places = F.coalesce("merged_locations", F.array(place(b))) if merged else F.array(place(b))
+    v = b.filter(F.col("type").isin(*COMPONENTS)).select("doc_id", F.col("id").alias("vis_id"), "type", "content", F.col("image").alias("link"), ids.alias("own_ids"), places.alias("own_places"))
     part = F.when(F.col("type").contains("caption"), "c").when(F.col("type").contains("footnote"), "f")
-    linked = b.filter((F.col("image") >= 0) & part.isNotNull()).select("doc_id", F.col("image").alias("vis_id"), F.struct("id", part.alias("part"), "content").alias("x")).groupBy("doc_id", "vis_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    linked = b.filter((F.col("image") >= 0) & part.isNotNull()).select("doc_id", F.col("image").alias("vis_id"), F.struct("id", part.alias("part"), "content", place(b).alias("place")).alias("x")).groupBy("doc_id", "vis_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
     texts = lambda p: F.array_join(F.transform(F.filter("xs", lambda x: (x["part"] == p) & (x["content"] != "")), lambda x: x["content"]), " ")
-    return v.join(linked, ["doc_id", "vis_id"], "left").select("doc_id", "vis_id", "type", F.coalesce(texts("c"), F.lit("")).alias("title"), F.coalesce(texts("f"), F.lit("")).alias("metadata"), "content", "link", F.concat(F.array("vis_id"), F.coalesce(F.transform("xs", lambda x: x["id"]), F.array().cast("array<int>"))).alias("block_ids"))
+    return v.join(linked, ["doc_id", "vis_id"], "left").select("doc_id", "vis_id", "type", F.coalesce(texts("c"), F.lit("")).alias("title"), F.coalesce(texts("f"), F.lit("")).alias("metadata"), "content", "link", F.concat("own_ids", F.coalesce(F.transform("xs", lambda x: x["id"]), F.array().cast("array<int>"))).alias("block_ids"), F.concat("own_places", F.coalesce(F.transform("xs", lambda x: x["place"]), F.array().cast("array<struct<bbox: array<double>, page: int>>"))).alias("locations"))
 
 
 def attached_visuals(blocks: DataFrame, components: DataFrame, visuals: DataFrame, keep_unmatched: bool = True) -> DataFrame:
@@ -146,11 +167,11 @@ def attached_visuals(blocks: DataFrame, components: DataFrame, visuals: DataFram
 
 
 def supplements(blocks: DataFrame) -> DataFrame:
-    """doc_id, id, type, title, content: headers, footers and the like, named "Page p - type", later ones with a number."""
+    """doc_id, id, type, title, content, locations: headers, footers and the like, named "Page p - type", later ones with a number."""
     b = retyped(blocks).filter(F.col("type").isin(*SUPPLEMENT_TYPES))
     n = F.row_number().over(Window.partitionBy("doc_id", "page", "type").orderBy("id")) - 1
     name = F.concat(F.lit("Page "), F.col("page"), F.lit(" - "), F.col("type"))
-    return b.withColumn("n", n).select("doc_id", "id", "type", F.when(F.col("n") > 0, F.concat(name, F.lit(" - "), F.col("n"))).otherwise(name).alias("title"), F.coalesce("content", F.lit("")).alias("content"))
+    return b.withColumn("n", n).select("doc_id", "id", "type", F.when(F.col("n") > 0, F.concat(name, F.lit(" - "), F.col("n"))).otherwise(name).alias("title"), F.coalesce("content", F.lit("")).alias("content"), F.array(place(b)).alias("locations"))
 
 
 def _key(kind: int, number: Column) -> Column:
@@ -158,23 +179,23 @@ def _key(kind: int, number: Column) -> Column:
 
 
 def tree(blocks: DataFrame) -> DataFrame:
-    """doc_id, node (c: component, v: visual, s: supplement, with its id), parent, path, type, title, metadata, content, block_ids.
+    """doc_id, node (c: component, v: visual, s: supplement, with its id), parent, path, type, title, metadata, content, level, block_ids, locations.
 
-    The root has no row and is the parent "root". path holds the sort keys of all ancestors and the node, class (text,
+    level is a title's own, the linked block of a visual (-1: none), -1 for supplements; locations are in step with block_ids. The root has no row and is the parent "root". path holds the sort keys of all ancestors and the node, class (text,
     visual, supplement) and id, so that rows ordered by path are in reading order.
     """
     blocks = written(blocks, "tree_blocks")
     comps = text_components(blocks)
     vis = visual_components(blocks)
     none = F.lit("")
-    up = parents(comps)
+    up = parents(component_levels(blocks))
     path = F.array_join(F.transform(F.concat("ancestors", F.array(F.col("comp_id").cast("long"))), lambda i: _key(0, i)), "/")
-    c = comps.join(up, ["doc_id", "comp_id"]).select("doc_id", F.concat(F.lit("c"), "comp_id").alias("node"), F.when(F.col("parent_id") < 0, "root").otherwise(F.concat(F.lit("c"), "parent_id")).alias("parent"), path.alias("path"), F.lit("text").alias("type"), "title", none.alias("metadata"), "content", "block_ids")
+    c = comps.join(up, ["doc_id", "comp_id"]).select("doc_id", F.concat(F.lit("c"), "comp_id").alias("node"), F.when(F.col("parent_id") < 0, "root").otherwise(F.concat(F.lit("c"), "parent_id")).alias("parent"), path.alias("path"), F.lit("text").alias("type"), "title", none.alias("metadata"), "content", "level", "block_ids", "locations")
     c = written(c, "tree_components")
     at = cut(attached_visuals(blocks, comps, vis))
     head = F.when(F.col("parent_kind") == "visual", "v").otherwise("c")
     v = vis.join(at, ["doc_id", "vis_id"]).withColumn("parent", F.when(F.col("parent_kind") == "root", "root").otherwise(F.concat(head, "parent_id")))
-    v = v.select("doc_id", F.concat(F.lit("v"), "vis_id").alias("node"), "parent", _key(1, F.col("vis_id")).alias("key"), "parent_kind", "type", "title", "metadata", "content", "block_ids")
+    v = v.select("doc_id", F.concat(F.lit("v"), "vis_id").alias("node"), "parent", _key(1, F.col("vis_id")).alias("key"), "parent_kind", "type", "title", "metadata", "content", F.col("link").alias("level"), "block_ids", "locations")
     columns = [x for x in c.columns if x != "path"]
     over = c.select("doc_id", F.col("node").alias("parent"), F.col("path").alias("up"))
     placed = v.filter("parent_kind <> 'visual'").join(over, ["doc_id", "parent"], "left").select(*columns, F.concat_ws("/", "up", "key").alias("path"))
@@ -185,7 +206,7 @@ def tree(blocks: DataFrame) -> DataFrame:
             break
         inner = cut(inner.join(next_.select("doc_id", "node"), ["doc_id", "node"], "left_anti"))
         out, placed = out.unionByName(next_), next_
-    s = supplements(blocks).select("doc_id", F.concat(F.lit("s"), "id").alias("node"), F.lit("root").alias("parent"), _key(2, F.col("id")).alias("path"), "type", "title", F.col("content").alias("metadata"), "content", F.array("id").alias("block_ids"))
+    s = supplements(blocks).select("doc_id", F.concat(F.lit("s"), "id").alias("node"), F.lit("root").alias("parent"), _key(2, F.col("id")).alias("path"), "type", "title", F.col("content").alias("metadata"), "content", F.lit(-1).alias("level"), F.array("id").alias("block_ids"), "locations")
     return c.unionByName(out).unionByName(s)
 
 

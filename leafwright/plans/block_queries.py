@@ -116,6 +116,26 @@ def table_screen(spark, folder):
     return C.screened_pairs(blocks(spark, folder, *TEXT)).select("doc_id", "upper_idx", "lower_idx", F.coalesce("reason", F.lit("passed")).alias("reason"))
 
 
+def _checks(spark, folder):
+    return C.pair_checks(blocks(spark, folder, *TEXT))
+
+
+def table_screen_text_between(spark, folder):
+    return _checks(spark, folder).select("doc_id", "upper_idx", "lower_idx", "text_after", "text_before")
+
+
+def table_screen_caption(spark, folder):
+    return _checks(spark, folder).select("doc_id", "upper_idx", "lower_idx", "cap1", "cap2", "number1", "number2")
+
+
+def table_screen_footnotes(spark, folder):
+    return _checks(spark, folder).select("doc_id", "upper_idx", "lower_idx", F.col("notes").cast("bigint").alias("notes"))
+
+
+def table_screen_width(spark, folder):
+    return _checks(spark, folder).select("doc_id", "upper_idx", "lower_idx", F.round("width1", 6).alias("width1"), F.round("width2", 6).alias("width2"))
+
+
 def chunk_ranges(spark, folder):
     return CH.chunk_ranges(C.title_rows(blocks(spark, folder, *TEXT, where=TITLE)), CHUNK)
 
@@ -178,9 +198,25 @@ def table_header_rows(spark, folder):
     return TB.header_rows(_table_ids(spark, folder), TB.table_cells(t))
 
 
+def table_visual_header_rows(spark, folder):
+    t = blocks(spark, folder, "doc_id", "id", "content", where=TABLE)
+    return TB.visual_header_rows(_table_ids(spark, folder), TB.table_cells(t))
+
+
+def chunk_pages(spark, folder):
+    rows = C.title_rows(blocks(spark, folder, *TEXT, where=TITLE))
+    return CH.chunk_pages(CH.chunk_items(rows, CH.chunk_ranges(rows, CHUNK))).select("doc_id", "chunk_no", F.array_join(F.col("pages").cast("array<string>"), ",").alias("pages"))
+
+
+def input_labels(spark, folder):
+    """Documents with the labels that some rows give."""
+    d = table(spark, folder, "documents")
+    return N.input_labels(d.select("doc_id"), d.filter("input_label <> ''").select("doc_id", F.col("input_label").alias("label")))
+
+
 def table_merge(spark, folder):
     """All tables on consecutive pages are taken as pairs, so that chains occur."""
-    b = blocks(spark, folder, "doc_id", "id", "page", "type", "content", where=TABLE)
+    b = blocks(spark, folder, *TEXT, where=TABLE)
     pairs = C.table_pairs(b).withColumn("cells", F.array(F.lit(0)))
     return TB.merged_tables(LK.merged_pairs(b, pairs)).select("doc_id", "head_id", "content", F.array_join(F.col("member_ids").cast("array<string>"), ",").alias("members"))
 
@@ -190,7 +226,13 @@ def text_components(spark, folder):
 
 
 def tree_parents(spark, folder):
-    return TR.parents(TR.text_components(blocks(spark, folder, *TEXT, *LINKS))).select("doc_id", "comp_id", "parent_id")
+    return TR.parents(TR.component_levels(blocks(spark, folder, "doc_id", "id", "type", "content", *LINKS))).select("doc_id", "comp_id", "parent_id")
+
+
+def tree_locations(spark, folder):
+    """Places of all text components, a row per block."""
+    c = TR.text_components(blocks(spark, folder, *TEXT, *LINKS)).select("doc_id", "comp_id", F.posexplode(F.arrays_zip("block_ids", "locations")).alias("pos", "x"))
+    return c.select("doc_id", "comp_id", "pos", F.col("x.block_ids").alias("id"), F.col("x.locations.page").alias("page"), F.round(F.get("x.locations.bbox", 0), 6).alias("x1"), F.round(F.get("x.locations.bbox", 3), 6).alias("y2"))
 
 
 def tree_visuals(spark, folder):
@@ -203,7 +245,7 @@ def tree_attached(spark, folder):
 
 
 def tree_supplements(spark, folder):
-    return TR.supplements(blocks(spark, folder, "doc_id", "id", "page", "type", "content", "level", "source_label")).select("doc_id", "id", "type", "title", "content")
+    return TR.supplements(blocks(spark, folder, *TEXT, "level", "source_label")).select("doc_id", "id", "type", "title", "content")
 
 
 def tree_preview(spark, folder):
@@ -307,9 +349,9 @@ def interchange_pages(spark, folder):
 
 
 _QUERIES = (
-    normalize_text, bbox_scale, bbox_thousandths, label_map, validate_blocks, block_order, sentence_head_tail, merge_rule_flags, truncation_candidates, truncation_rows, title_candidates, visual_candidates, containment_links, table_pairs, table_screen,
-    chunk_ranges, chunk_items, prompt_text, parse_links, parse_levels, level_sync, apply_links, table_cells, table_shapes, table_header_rows, table_merge, text_components, tree_parents, tree_visuals, tree_attached, tree_supplements, tree_preview, tree_json, relations, relation_records, subnode_split,
-    title_linking, level_marks, training_cases, gt_parse, box_iou, align_score, align_match, teds, eval_summary, doc_status, resume_anti_join, doc_ids, interchange_pages,
+    normalize_text, bbox_scale, bbox_thousandths, label_map, validate_blocks, block_order, sentence_head_tail, merge_rule_flags, truncation_candidates, truncation_rows, title_candidates, visual_candidates, containment_links, table_pairs, table_screen, table_screen_text_between, table_screen_caption, table_screen_footnotes, table_screen_width,
+    chunk_ranges, chunk_items, chunk_pages, prompt_text, parse_links, parse_levels, level_sync, apply_links, table_cells, table_shapes, table_header_rows, table_visual_header_rows, table_merge, text_components, tree_locations, tree_parents, tree_visuals, tree_attached, tree_supplements, tree_preview, tree_json, relations, relation_records, subnode_split,
+    title_linking, level_marks, training_cases, gt_parse, box_iou, align_score, align_match, teds, eval_summary, doc_status, resume_anti_join, doc_ids, input_labels, interchange_pages,
 )
 
 

@@ -119,6 +119,13 @@ _IN = "JOIN ranges ON ranges.doc_id = t.doc_id AND page BETWEEN start_ AND end_"
 _LABELS = ", ".join(f"({_q(v)}, {_q(lab)}, {_q(c)}, {_q(s)})" for v, lab, c, s in L.label_rows())
 
 
+_CAPTION_NUMBERS = " ".join(
+    f"WHEN regexp_matches(cap, '{p}') THEN '{k} ' || upper(regexp_replace(regexp_extract(cap, '{p}', 1), '[ -]', '', 'g'))"
+    for k, p in (
+        ("Exhibit", "[Ee]xhibit\\s*([0-9]+)"), ("Exhibit", "EXHIBIT\\s*([0-9]+)"), ("Table", "[Tt]able\\s*([A-Za-z]?\\s*-?\\s*[0-9.]+)"), ("Table", "[Tt]ab\\.?\\s*([A-Za-z]?\\s*-?\\s*[0-9.]+)"), ("Table", "TABLE\\s*([A-Za-z]?\\s*-?\\s*[0-9.]+)"),
+        ("Table", "表\\s*([A-Za-z]?\\s*-?\\s*[0-9.]+)"), ("Figure", "[Ff]igure\\s*([0-9]+)"), ("Figure", "图\\s*([0-9]+)"), ("CN", "^([一二三四五六七八九十]+)、"),
+    )
+)
 ATTACHED = """held AS (SELECT doc_id, vis_id AS outer_, unnest(idl) AS link FROM vis),
     nest AS (SELECT vis.doc_id, vis.vis_id, min(outer_) AS outer_ FROM vis JOIN held ON held.doc_id = vis.doc_id AND held.link = vis.link WHERE vis.link >= 0 AND outer_ <> vis.vis_id GROUP BY ALL),
     home AS (SELECT doc_id, comp_id, unnest(string_split(block_ids, ','))::INT AS link FROM comps),
@@ -171,6 +178,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT i.doc_id, i.id - 1 AS idx, min(o.id) - 1 AS large_idx FROM x i JOIN x o ON o.doc_id = i.doc_id AND o.id <> i.id AND o.type IN ('table', 'image_block') AND i.type IN ('image_caption', 'table_caption', 'image')
                 AND i.b1 >= 0.95::DOUBLE * o.b1 AND i.b2 >= 0.95::DOUBLE * o.b2 AND i.b3 <= 1.05::DOUBLE * o.b3 AND i.b4 <= 1.05::DOUBLE * o.b4 GROUP BY ALL""",
         "table_pairs": f"WITH {B}, {TABLE_PAIRS} SELECT doc_id, upper_idx, lower_idx FROM pairs",
+        "table_screen_text_between": f"""WITH {B}, {TABLE_PAIRS}, tx AS (SELECT doc_id, page, min(id) AS lo, max(id) AS hi FROM b WHERE type IN ('text', 'list_item', 'list') GROUP BY ALL)
+            SELECT p.doc_id, upper_idx, lower_idx, coalesce(u.hi > upper_idx + 1, FALSE) AS text_after, coalesce(l.lo < lower_idx + 1, FALSE) AS text_before FROM pairs p LEFT JOIN tx u ON u.doc_id = p.doc_id AND u.page = p.page LEFT JOIN tx l ON l.doc_id = p.doc_id AND l.page = p.page + 1""",
+        "table_screen_caption": f"""WITH {B}, {TABLE_PAIRS}, cp AS (SELECT doc_id, id, CASE WHEN type IN ('table_caption', 'tab-title', 'tab-caption', 'title') OR (type = 'text' AND length({_strip('txt')}) < 150
+                AND regexp_matches({_strip('txt')}, '(?i)^(table|表|exhibit|figure|图)\\s*[0-9]+|^[0-9]+(\\.[0-9]+)*\\s+|^[一二三四五六七八九十]+、')) THEN {_strip('txt')} END AS cap FROM b),
+            cn AS (SELECT *, CASE {_CAPTION_NUMBERS} END AS num FROM cp)
+            SELECT p.doc_id, upper_idx, lower_idx, u.cap AS cap1, l.cap AS cap2, u.num AS number1, l.num AS number2 FROM pairs p LEFT JOIN cn u ON u.doc_id = p.doc_id AND u.id = upper_idx LEFT JOIN cn l ON l.doc_id = p.doc_id AND l.id = lower_idx""",
+        "table_screen_footnotes": f"""WITH {B}, {TABLE_PAIRS}, s AS (SELECT p.doc_id, upper_idx, lower_idx, min(CASE WHEN b.type NOT IN ('table_footnote', 'table_caption', 'tab-caption', 'tab-title') AND b.id > upper_idx + 1 THEN b.id END) AS stop, max(b.id) AS page_end
+            FROM pairs p JOIN b ON b.doc_id = p.doc_id AND b.page = p.page GROUP BY p.doc_id, upper_idx, lower_idx) SELECT doc_id, upper_idx, lower_idx, (coalesce(stop, page_end + 1) - upper_idx - 2)::BIGINT AS notes FROM s""",
+        "table_screen_width": f"""WITH {B}, {TABLE_PAIRS}, wd AS (SELECT doc_id, id, {_four(3)} - {_four(1)} AS w FROM b) SELECT p.doc_id, upper_idx, lower_idx, round(u.w, 6) AS width1, round(l.w, 6) AS width2
+            FROM pairs p JOIN wd u ON u.doc_id = p.doc_id AND u.id = upper_idx + 1 JOIN wd l ON l.doc_id = p.doc_id AND l.id = lower_idx + 1""",
+        "chunk_pages": f"""WITH RECURSIVE {B}, {TITLES}, {RANGES} SELECT doc_id, chunk_no, string_agg(page::VARCHAR, ',' ORDER BY page) AS pages FROM (SELECT DISTINCT t.doc_id, chunk_no, page FROM t {_IN}) GROUP BY ALL""",
+        "input_labels": "SELECT doc_id, CASE WHEN input_label <> '' THEN input_label ELSE doc_id::VARCHAR END AS label FROM documents",
+        "tree_locations": f"""WITH {B}, {R}, {COMPS}, x AS (SELECT p4.doc_id, comp AS comp_id, id, page, bbox FROM p4 JOIN comps ON comps.doc_id = p4.doc_id AND comps.comp_id = p4.comp)
+            SELECT doc_id, comp_id, (row_number() OVER (PARTITION BY doc_id, comp_id ORDER BY id) - 1)::INT AS pos, id, page, round(bbox[1], 6) AS x1, round(bbox[4], 6) AS y2 FROM x""",
         "chunk_ranges": f"""WITH RECURSIVE {B}, {TITLES}, {RANGES} SELECT doc_id, chunk_no, start_ AS "start", end_ AS "end" FROM ranges""",
         "chunk_items": f"WITH RECURSIVE {B}, {TITLES}, {RANGES} SELECT t.doc_id, chunk_no, idx, page FROM t JOIN ranges ON ranges.doc_id = t.doc_id AND page BETWEEN start_ AND end_",
         "prompt_text": f"""WITH {B}, {TITLES} SELECT doc_id, 'Title Level Analysis: ' || string_agg('<|id|>' || idx || '<|page|>' || page || '<|box|>' || box || '<|content|>' || content, chr(10) ORDER BY page, idx) AS prompt FROM t GROUP BY doc_id""",

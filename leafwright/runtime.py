@@ -30,7 +30,7 @@ def session(app: str = "leafwright", master: str | None = None, **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one if it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Only a local session may leave it unset (tests): it gets one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
@@ -38,6 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
     have = sc._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get().rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; a cluster needs a folder that all executors share")
     own = tempfile.mkdtemp(prefix="leafwright_")
     _own_folders.append(own)
     sc.setCheckpointDir(own)

@@ -42,27 +42,48 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("doc_id", F.col("page").cast("int").alias("page"), F.posexplode("blocks").alias("pos", "b")).select("doc_id", "page", "pos", "b.*")
 
 
+def annotated_json(blocks: DataFrame) -> DataFrame:
+    """doc_id, value: one JSON object per document, page number to annotated blocks in order, with links, level and merges."""
+    extra = [c for c in ("table_merge", "cell_list") if c in blocks.columns]
+    block = F.struct("id", "type", "content", "bbox", "page", "contd", "level", "image", *extra)
+    page = blocks.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(block)).alias("blocks"))
+    pages = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce(F.col("page").cast("string"), F.lit("")), "blocks"))))
+    return page.groupBy("doc_id").agg(F.to_json(pages).alias("value"))
+
+
+def write_evaluation(details: DataFrame, summary: DataFrame, folder: str) -> None:
+    """Scores per document and their means, as lines of JSON in <folder>/details and <folder>/summary."""
+    details.write.mode("overwrite").json(f"{folder}/details")
+    summary.coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+
+
+def write_cases(cases: DataFrame, folder: str) -> None:
+    """Training cases or relation records (one JSON column each), a line per row."""
+    column = "case" if "case" in cases.columns else "record"
+    cases.select(F.col(column).alias("value")).write.mode("overwrite").text(folder)
+
+
 def append_log(answers: DataFrame, folder: str) -> None:
     """Adds requests and answers to the log of model calls."""
     answers.write.mode("append").parquet(folder)
 
 
 def tree_json(nodes: DataFrame) -> DataFrame:
-    """doc_id, value: the nested tree of each document's nodes (node, parent, path, type, title, metadata, content, block_ids).
+    """doc_id, value: the nested tree of each document's nodes (node, parent, path, type, title, metadata, content, level, block_ids, locations).
 
     A document's tree is one JSON object, so its nodes meet in one row.
     """
-    row = F.struct("path", "node", "parent", "type", "title", "metadata", "content", "block_ids")
+    row = F.struct("path", "node", "parent", "type", "title", "metadata", "content", "level", F.col("locations").alias("location"), "block_ids")
     docs = nodes.groupBy("doc_id").agg(F.array_sort(F.collect_list(row)).alias("nodes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for rows in b.column("nodes").to_pylist():
-                root = {"type": "root", "title": "", "metadata": "", "content": "", "block_ids": [], "children": []}
+                root = {"type": "root", "title": "", "metadata": "", "content": "", "level": -1, "location": [], "block_ids": [], "children": []}
                 by = {"root": root}
                 for r in rows:  # parents come first in path order
-                    by[r["node"]] = {k: r[k] for k in ("type", "title", "metadata", "content", "block_ids")} | {"children": []}
+                    by[r["node"]] = {k: r[k] for k in ("type", "title", "metadata", "content", "level", "location", "block_ids")} | {"children": []}
                     by[r["parent"]]["children"].append(by[r["node"]])
                 out.append(json.dumps(root, ensure_ascii=False))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "value"])

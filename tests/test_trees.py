@@ -211,7 +211,7 @@ def test_header_rows(spark):
 def screened(spark, upper, lower, widths=(1.0, 1.0), after=(), before=()):
     """Reason for one pair: blocks before and after the tables on their pages, given as (type, content)."""
     rows, i = [], 0
-    for page, parts in ((1, [*upper, ("table", "<t>"), *after]), (2, [*before, *lower, ("table", "<t>")])):
+    for page, parts in ((1, [*upper, ("table", "<tr><td>1</td></tr>"), *after]), (2, [*before, *lower, ("table", "<tr><td>2</td></tr>")])):
         for kind, text in parts:
             i += 1
             rows.append((1, i, page, kind, text, [0.0, 0.0, widths[page - 1], 1.0], -1, -1, -1, None))
@@ -296,3 +296,79 @@ def test_tree_distance_by_definition(a, b, wide):
 def test_matching_is_one_to_one(spark):
     p = spark.createDataFrame([(1, 1, "g1", "m1", 0.9, 1.0, 1.0), (1, 1, "g1", "m2", 0.8, 1.0, 1.0), (1, 1, "g2", "m1", 0.7, 1.0, 1.0), (1, 1, "g2", "m2", 0.6, 0.1, 0.1), (1, 1, "g3", "m2", 0.5, 0.9, 0.1)], "doc_id long, page int, gt_id string, block_id string, score double, box double, text double")
     assert sorted((r.gt_id, r.block_id) for r in V.matched(p).collect()) == [("g1", "m1"), ("g3", "m2")]
+
+
+def test_captions_in_other_scripts_differ(spark):
+    from leafwright.operators.candidates import _clean_caption
+
+    df = spark.createDataFrame([("Результаты измерений (continued)", "Состав комиссии"), ("Prüfung", "Prfung"), ("Tabelle: Ä 1", "tabelleä1")], "a string, b string")
+    got = [tuple(r) for r in df.select(_clean_caption(F.col("a")), _clean_caption(F.col("b"))).collect()]
+    assert got == [("результатыизмерений", "составкомиссии"), ("prüfung", "prfung"), ("tabelleä1", "tabelleä1")]
+
+
+def test_table_screen_looks_at_columns_last(spark):
+    from leafwright.operators import candidates as C
+    from leafwright.operators import tables as TB
+
+    t = lambda n: "<table><tr>" + "<td>1</td>" * n + "</tr></table>"
+    rows = [(1, 1, 1, "table", t(3)), (1, 2, 2, "table", t(3)), (2, 1, 1, "table", t(3)), (2, 2, 2, "table", t(2)), (3, 1, 1, "table", None), (3, 2, 2, "table", t(2)), (4, 1, 1, "table", t(2)), (4, 2, 1, "text", "x"), (4, 3, 2, "table", t(2))]
+    b = spark.createDataFrame([(*r, [0.1, 0.1, 0.9, 0.9]) for r in rows], "doc_id long, id int, page int, type string, content string, bbox array<double>")
+    got = {r.doc_id: r.reason for r in C.screened_pairs(b).collect()}
+    assert got == {1: None, 2: "columns differ", 3: "columns differ", 4: "text after upper table"}
+    pairs = C.screened_pairs(b).filter("reason is null")
+    asked = TB.merge_prompts(pairs, b).collect()
+    assert [(r.doc_id, r.upper_idx, r.lower_idx) for r in asked] == [(1, 0, 1)] and "rowspan=1,colspan=1, 1" in asked[0].prompt
+
+
+def test_visual_headers(spark):
+    from leafwright.operators import tables as TB
+
+    html = lambda *rows: "<table>" + "".join(f"<tr>{r}</tr>" for r in rows) + "</table>"
+    a, b = html("<td colspan=2>H</td><td>K</td>", "<td>1</td><td>2</td><td>3</td>"), html("<td>Ｈ</td><td colspan=2>K</td>", "<td>4</td><td>2</td><td>3</td>")
+    rows = [(1, 1, a), (1, 2, b), (2, 1, a), (2, 2, a), (3, 1, a), (3, 2, html("<td>x</td>"))]
+    cells = TB.table_cells(spark.createDataFrame(rows, "doc_id long, id int, content string"))
+    pairs = spark.createDataFrame([(d, 1, 2) for d in (1, 2, 3)], "doc_id long, upper_id int, lower_id int")
+    assert {r.doc_id: r.n_header for r in TB.visual_header_rows(pairs, cells).collect()} == {1: 1, 2: 2, 3: 0}
+
+
+def test_chunks_always_go_on():
+    from leafwright.operators.chunking import page_chunks
+
+    pages = list(range(1, 41))
+    got = page_chunks(pages, [100 if p == 1 else 1 for p in pages], size=3, overlap=1, reach=9)
+    assert got[-1][1] == 40 and len(got) < 40
+    assert page_chunks(pages, [1] * 40, size=10, overlap=3)[-2:] == [(page_chunks(pages, [1] * 40, size=10, overlap=3)[-2][0], 40), (37, 40)]
+
+
+def test_long_requests_are_marked_and_resumed(spark, monkeypatch):
+    from leafwright.operators import prompts as P
+
+    monkeypatch.setattr(P, "PROMPT_LIMIT", 50)
+    df = spark.createDataFrame([(1, P.HEADS["contd"] + ": " + "<|id|>1<|page|>1x\n" * 9), (2, "short")], "doc_id long, prompt string")
+    done = P.answered(df, P.RuleModel).withColumn("response", F.lit("x"))
+    assert {r.doc_id: r.lost > 0 for r in done.collect()} == {1: True, 2: False}
+    assert P.unanswered(df, done).count() == 0 and P.unanswered(df, done.filter("doc_id = 2").drop("request_id")).count() == 1
+
+
+def test_places_keep_their_entries_and_envelopes_their_roots():
+    from leafwright.operators import nested as N
+
+    boxes = lambda box: N.flatten_payload('{"type": "a", "location": [{"bbox": %s, "page": 1}]}' % box)[0]["places"][0]["bbox"]  # noqa: E731, UP031
+    assert boxes('[null, 0.2, "0.3", "x"]') == [None, 0.2, 0.3, None] and boxes('["0.1", true]') == [0.1, None]
+    value = '{"type": "a"}'
+    for _ in range(12):
+        value = '{"data": ' + value + "}"
+    assert [n["type"] for n in N.flatten_payload(value)] == ["a"]
+    assert [n["type"] for n in N.flatten_payload('{"x": {"type": "a"}, "y": {"type": "b", "children": [{"type": "c"}]}}')] == ["a", "b", "c"]
+
+
+def test_merged_tables_keep_their_places(spark):
+    from leafwright.operators import tables as TB
+    from leafwright.operators import tree as TR
+
+    t = "<table><tr><td>1</td></tr></table>"
+    rows = [(1, 1, 1, "table", t, [0.1, 0.1, 0.5, 0.5], -1, 2, [0]), (1, 2, 2, "table", t, [0.2, 0.2, 0.6, 0.6], -1, 1, [0]), (1, 3, 2, "table_caption", "cap", [0.3, 0.3, 0.4, 0.4], 2, -1, [])]
+    b = spark.createDataFrame(rows, "doc_id long, id int, page int, type string, content string, bbox array<double>, image int, table_merge int, cell_list array<int>").withColumns({"level": F.lit(-1), "contd": F.lit(-1), "source_label": F.lit(None).cast("string")})
+    whole = TB.without_parts(b, TB.merged_tables(b))
+    v = TR.visual_components(whole).collect()
+    assert len(v) == 1 and v[0].block_ids == [1, 2, 3] and v[0].title == "cap" and [(x.page, x.bbox[0]) for x in v[0].locations] == [(1, 0.1), (2, 0.2), (2, 0.3)]
