@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafwright.llm.lookalike import one_form
+from leafwright.runtime import salted_join, written
 
 MIN_WORDS = 12
 #: Spaced seeds: 1 = the word counts, 0 = it is ignored. Weight 8 in a span of 11.
@@ -205,16 +206,20 @@ def _by_join(docs: DataFrame, tests: DataFrame) -> DataFrame:
 
         return run
 
-    a = docs.mapInArrow(seeds("doc_id"), "doc_id long, mask int, hash long")
-    b = tests.mapInArrow(seeds("item_id"), "item_id long, mask int, hash long")
-    pairs = a.join(b, ["mask", "hash"]).select("doc_id", "item_id").distinct()
+    seed = F.xxhash64("mask", "hash").alias("seed")  # boilerplate makes hot seeds, which are salted
+    a = docs.mapInArrow(seeds("doc_id"), "doc_id long, mask int, hash long").select("doc_id", seed)
+    b = tests.mapInArrow(seeds("item_id"), "item_id long, mask int, hash long").select("item_id", seed)
+    pairs = salted_join(written(a, "leak_seeds"), b, "seed", "inner").select("doc_id", "item_id").distinct()
     both = pairs.join(docs, "doc_id").join(tests.withColumnRenamed("text", "item_text"), "item_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
+            tables: dict[int, TestTable] = {}
             for d, i, t, it in zip(*(b.column(c).to_pylist() for c in ("doc_id", "item_id", "text", "item_text")), strict=True):
-                rows += [(d, i, *x) for _, _, *x in TestTable([(i, it)]).find([words(t)])]
+                if i not in tables:  # an item's table serves all its documents of the batch
+                    tables[i] = TestTable([(i, it)])
+                rows += [(d, i, *x) for _, _, *x in tables[i].find([words(t)])]
             yield _rows(rows)
 
     return both.select("doc_id", "item_id", "text", "item_text").mapInArrow(run, _OUT)

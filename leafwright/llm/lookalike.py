@@ -22,15 +22,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leafwright.runtime import written
+
 SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian")
 #: Letters that look alike, one class per entry, spelled in the order of SCRIPTS; "." where a script has none.
 LETTER_CLASSES = """
 aаα. cсϲ. dԁ.. eе.. g..ց hһ.հ iіι. jјϳ. lӏ.. n..ո oоοօ pрρ. qԛ.. sѕ.. u.υս vѵν. wԝ.. xх.. yуγ.
 AАΑ. BВΒ. CСϹ. EЕΕ. GԌ.. HНΗ. IІΙ. JЈͿ. KКΚ. LᏞ.Լ MМΜ. N.Ν. OОΟՕ PРΡ. QԚ.. SЅ.Տ TТΤ. U..Ս WԜ.. XХΧ. YУΥ. Z.Ζ.
-.ГΓ. .ПΠ. .ФΦ.
+.ГΓ. .ПΠ. .ФΦ. .кκ.
 """.split()
 #: Second spellings of a letter within one script.
-SAME_SCRIPT = {"ɑ": "a", "ɡ": "g", "Ү": "У", "Ӏ": "І"}
+SAME_SCRIPT = {"ɑ": "a", "ɡ": "g", "Ү": "У", "Ӏ": "І", "ĸ": "к"}
 #: Blocks whose compatibility forms look like the plain ones (ligatures, digraphs, Roman numerals, radicals, dots).
 _COMPAT_LOOKS_SAME = ((0x132, 0x133), (0x1C4, 0x1CC), (0x1F1, 0x1F3), (0x2024, 0x2026), (0x2160, 0x217F), (0x2E80, 0x2FD5), (0xFB00, 0xFB17), (0xFE70, 0xFEFC))
 _KINDS_LOOK_SAME = ("<wide>", "<narrow>", "<noBreak>")
@@ -180,17 +182,27 @@ def normalize_texts(df: DataFrame, text: str, out: str = "form") -> DataFrame:
     return df.withColumn(out, one_form_column(F.col(text)))
 
 
+def same_look_classes(records: DataFrame) -> DataFrame:
+    """doc_id, form, text, rec_key: membership of records in classes of equal stored texts, for every form of a document that is
+    stored in two ways or more. One row per record, so a form that a third of all records have stays linear.
+
+    Null texts and texts without a visible character are in no class, nor are records without a document or key;
+    repeated rows of a record count once. Forms are computed once and written.
+    """
+    src = records.filter("text is not null and doc_id is not null and rec_key is not null").select("doc_id", "rec_key", "text")
+    forms = written(src.withColumn("form", compare_form_column(F.col("text"))).filter("form <> ''"), "forms")
+    wide = forms.groupBy("doc_id", "form").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("doc_id", "form")
+    return forms.join(wide, ["doc_id", "form"], "left_semi").select("doc_id", "form", "text", "rec_key").distinct()
+
+
 def same_look_pairs(records: DataFrame) -> DataFrame:
     """key_a, key_b of records (doc_id, rec_key, text) of one document that look the same but are stored differently.
 
-    Null texts and texts without a visible character are in no pair, nor are records without a document or key.
-    Repeated rows of a record count once.
     Texts are compared as classes of equal stored texts, so equal copies never meet each other: the work
-    is the size of the result. Each class pair is expanded by its members.
+    is the size of the result. Each class pair is expanded by its members; where forms are repeated very often,
+    same_look_classes holds the same in one row per record.
     """
-    forms = records.filter("text is not null and doc_id is not null and rec_key is not null").select("doc_id", "rec_key", "text", compare_form_column(F.col("text")).alias("form")).filter("form <> ''")
-    wide = forms.groupBy("doc_id", "form").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("doc_id", "form")
-    members = forms.join(wide, ["doc_id", "form"], "left_semi").select("doc_id", "form", "text", "rec_key").distinct()
+    members = written(same_look_classes(records), "form_members")
     classes = members.select("doc_id", "form", "text").distinct()
     pairs = classes.alias("a").join(classes.alias("b"), ["doc_id", "form"]).filter("a.text < b.text").select("doc_id", "form", F.col("a.text").alias("ta"), F.col("b.text").alias("tb"))
     left = members.select("doc_id", "form", F.col("text").alias("ta"), F.col("rec_key").alias("ka"))

@@ -12,6 +12,12 @@ def p1_found(spark, folder):
     return lookalike.same_look_pairs(records.title_records(table(spark, folder, "blocks"), table(spark, folder, "trees")))
 
 
+def p1_classes(spark, folder):
+    """A row per record whose form is stored in several ways: its document, the class of its stored text and of its form."""
+    c = lookalike.same_look_classes(records.title_records(table(spark, folder, "blocks"), table(spark, folder, "trees")))
+    return c.select("doc_id", F.sha2("form", 256).alias("form_class"), F.sha2("text", 256).alias("text_class"), "rec_key")
+
+
 def p1_forms(spark, folder):
     """Every block content and tree title in its consistent form."""
     blocks, trees = table(spark, folder, "blocks"), table(spark, folder, "trees")
@@ -72,7 +78,7 @@ def p8_templates(spark, folder):
 
 def queries():
     found = (p1_found, p2_found, p4_found, p5_found, p7_found, p8_found)
-    more = (p1_forms, p2_repaired, p4_pieces, p5_clean, p5_paths, p6_containers, p7_leaks, p8_templates)
+    more = (p1_classes, p1_forms, p2_repaired, p4_pieces, p5_clean, p5_paths, p6_containers, p7_leaks, p8_templates)
     return {f.__name__: f for f in found + more}
 
 

@@ -15,7 +15,7 @@ from leafwright.llm import leaks, lookalike, markup, packing, pieces, records, r
 
 @pytest.mark.parametrize("text, want", [
     (None, None), ("", ""), ("plain", "plain"), ("Ρаgе", "Page"), ("Ａ１", "A1"), ("oﬃce", "office"), ("e\u0301", "é"), ("a\u200bb\u00adc", "abc"), ("a\u00a0b\u3000c", "a b c"), ("m²", "m²"), ("①", "①"), ("Café", "Café"), ("Ⅳ", "IV"), ("part‐time", "part-time"),
-    ("Проверка", "Проверка"), ("Пpовeркa", "Проверка"), ("Приложение Х: Х", "Приложение X: X"), ("ДОСТУП", "ДОСТУП"), ("⽇常", "日常"), ("line\nbreak", "line\nbreak"),
+    ("Проверка", "Проверка"), ("Пpовeркa", "Проверка"), ("Приложение Х: Х", "Приложение X: X"), ("ДОСТУП", "ДОСТУП"), ("⽇常", "日常"), ("line\nbreak", "line\nbreak"), ("κот", "кот"),
 ])
 def test_one_form(text, want):
     assert lookalike.one_form(text) == want
@@ -47,6 +47,9 @@ def test_pairs_against_brute_force(spark):
     want = {(a[1], b[1]) for a in one for b in one if a[0] is not None and a[0] == b[0] and a[1] < b[1] and a[2] and b[2] and a[2] != b[2] and lookalike.compare_form(a[2]) == lookalike.compare_form(b[2]) != ""}
     assert got == want
     assert lookalike.same_look_pairs(df.limit(0)).count() == 0
+    members = lookalike.same_look_classes(df).collect()
+    assert {(a.rec_key, b.rec_key) for a in members for b in members if (a.doc_id, a.form) == (b.doc_id, b.form) and a.text != b.text and a.rec_key < b.rec_key} == want
+    assert len(members) == len({(m.doc_id, m.text, m.rec_key) for m in members})
 
 
 # problem 2
