@@ -2,9 +2,11 @@
 
 A record is read once into nodes: each piece of text with the path of the markup around it
 ("html/p/a", "wiki/template", "latex/itemize/item"). Over all records, each path's text length and punctuation
-per node are summed; the two ratios are smoothed along the path towards its parent, fused, and paths below a
-threshold are residue (comments, templates, categories, attributes), the others content. Clean text keeps the
-content nodes; headings, lists, code, tables, links' texts and formulas stay recognisable by their kind.
+per node are summed. Ratios are smoothed twice: along the text, as a node that goes on a sentence of its line counts with the
+line's text on both sides, and along the paths, as a rare path is drawn towards the same markup elsewhere or the path above.
+The two are fused, and paths below a threshold are residue, the others content: so comments, templates, categories and
+references fall, bold words, links and entities stay, without a list of either. Headings, lists, code, tables and formulas are
+structure and keep their text, so that they stay recognisable by their kind.
 """
 
 from __future__ import annotations
@@ -30,13 +32,11 @@ textarea tfoot th thead time title tr tt u ul var video
 """.split()
 _BREAKS = {"p", "br", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table", "pre", "blockquote", "hr", "section", "article"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "col"}
-#: Last elements of paths that only style running text; dropping them would lose words, so no ratio decides on them.
-INLINE = {"text", "emphasis", "quote", "entity", "emph", "textbf", "textit", "underline", "b", "i", "em", "strong", "u", "s", "span", "font", "small", "big", "sub", "sup", "mark", "abbr", "time", "q", "cite", "p", "itemize", "enumerate"}
 #: Kinds that keep their text whatever their path's ratio.
 STRUCTURE = ("heading", "item", "code", "cell", "link", "formula")
 _KIND_OF_TAG = {"li": "item", "pre": "code", "code": "code", "td": "cell", "th": "cell", "a": "link", "title": "heading"} | {f"h{i}": "heading" for i in range(1, 7)}
 _KIND_OF_COMMAND = {"section": "heading", "subsection": "heading", "subsubsection": "heading", "chapter": "heading", "paragraph": "heading", "title": "heading", "texttt": "code", "item": "item", "href": "link", "url": "link"}
-_KIND_OF_ENVIRONMENT = {"verbatim": "code", "lstlisting": "code", "equation": "formula", "align": "formula", "displaymath": "formula", "math": "formula"}
+_KIND_OF_ENVIRONMENT = {"itemize": "item", "enumerate": "item", "description": "item", "verbatim": "code", "lstlisting": "code", "equation": "formula", "align": "formula", "displaymath": "formula", "math": "formula"}
 #: LaTeX commands whose argument is a reference, no text.
 _REFERENCES = {"cite", "ref", "label", "citep", "citet", "eqref", "pageref", "includegraphics", "usepackage", "documentclass", "input", "bibliography"}
 
@@ -147,7 +147,7 @@ class _Reader:
         if which == "latex_env":
             env = m["env"]
             new = _KIND_OF_ENVIRONMENT.get(env, kind)
-            return leaf(m["env_in"].strip("\n"), f"latex/{env}", new) if new in ("code", "formula") else inner(m["env_in"], f"latex/{env}")
+            return leaf(m["env_in"].strip("\n"), f"latex/{env}", new) if new in ("code", "formula") else inner(m["env_in"], f"latex/{env}", new)
         if which == "latex_half":
             return leaf("", "latex/environment", "mark")
         if which == "latex_math":
@@ -225,13 +225,13 @@ def formats(nodes: list[Node]) -> set[str]:
     return {f for n in nodes for f in n.path.split("/") if f in _FORMATS}
 
 
-def clean_text(nodes: list[Node], residue: set[str]) -> str:
-    """The content nodes' text. Headings stand in a line of their own after "# ", items after "• ", code between
-    lines of ```; cells are parted by tabs, formulas stand in $ $. Paths in residue, and residue nodes, go; inline paths stay."""
+def clean_text(nodes: list[Node], residue: set[str], scored: set[str] = frozenset()) -> str:
+    """The content nodes' text. Paths in residue go; where a path was not scored, the kind that the grammar gives decides. Headings stand in a line of their own after "# ", items after "• ", code between
+    lines of ```; cells are parted by tabs, formulas stand in $ $."""
     out: list[str] = []
     before = ""
     for n in nodes:
-        if n.kind == "residue" or (n.path in residue and n.kind not in (*STRUCTURE, "mark") and n.path.rpartition("/")[2] not in INLINE):
+        if n.kind not in (*STRUCTURE, "mark") and (n.path in residue or (n.kind == "residue" and n.path not in scored)):
             continue
         t = n.text
         if n.kind == "heading" and t.strip():
@@ -252,6 +252,27 @@ def clean_text(nodes: list[Node], residue: set[str]) -> str:
     return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", "".join(out))).strip()
 
 
+_ENDS = ".!?:。！？："
+
+
+def spans(nodes: list[Node]) -> Iterator[tuple[str, int, int]]:
+    """path, characters and punctuation of each node with text; a node that goes on a sentence counts with the rest of its line."""
+    whole = "".join(n.text for n in nodes)
+    at = 0
+    for n in nodes:
+        begin, at = at, at + len(n.text)
+        if n.kind == "mark" or (n.text.isspace() and "\n" in n.text):
+            continue
+        left = whole.rfind("\n", 0, begin) + 1
+        before = whole[left:begin].rstrip()
+        if before and before[-1] not in _ENDS and before[-1] != "•":
+            right = whole.find("\n", at)
+            line = whole[left : len(whole) if right < 0 else right]
+            yield n.path, max(len(line), len(n.text)), len(_PUNCT.findall(line))
+        else:
+            yield n.path, len(n.text), len(_PUNCT.findall(n.text))
+
+
 def path_ratios(nodes: DataFrame) -> DataFrame:
     """path, n_nodes, text_ratio, punct_ratio: sums over all nodes (rec_key, path, kind, text), per path."""
     return nodes.groupBy("path").agg(F.sum("n").alias("n_nodes"), F.sum("chars").alias("chars"), F.sum("punct").alias("punct")).select("path", "n_nodes", (F.col("chars") / F.col("n_nodes")).alias("text_ratio"), (F.col("punct") / F.col("n_nodes")).alias("punct_ratio"))
@@ -270,12 +291,11 @@ def path_counts(records: DataFrame) -> DataFrame:
             if plain[0]:
                 sums["text"] = [x + y for x, y in zip(sums["text"], plain, strict=True)]
             for t in pc.drop_null(b.column("text")).to_pylist():
-                for n in read_nodes(t):
-                    if n.kind != "mark":
-                        s = sums[n.path]
-                        s[0] += 1
-                        s[1] += len(n.text)
-                        s[2] += len(_PUNCT.findall(n.text))
+                for path, chars, punct in spans(read_nodes(t)):
+                    s = sums[path]
+                    s[0] += 1
+                    s[1] += chars
+                    s[2] += punct
         yield pa.RecordBatch.from_pydict({"path": pa.array(list(sums), pa.string()), **{c: pa.array([v[i] for v in sums.values()], pa.int64()) for i, c in enumerate(("n", "chars", "punct"))}})
 
     text, plain = F.col("text"), ~maybe() & (F.col("text") != "")
@@ -284,16 +304,18 @@ def path_counts(records: DataFrame) -> DataFrame:
     return src.mapInArrow(run, "path string, n long, chars long, punct long")
 
 
-def scored_paths(ratios: DataFrame, weight: float = 5.0, cutoff: float = 0.5) -> DataFrame:
+def scored_paths(ratios: DataFrame, weight: float = 5.0, cutoff: float = 1.0) -> DataFrame:
     """path, score, content: smoothed and fused ratios, and whether the path is content.
 
-    Smoothing draws a path with few nodes towards its parent, the nearest path above it that has nodes (names of
-    formats have none, nor have lists without a text of their own): (n * own + weight * parent) / (n + weight).
+    Smoothing draws a path with few nodes towards another one that has nodes: the same markup under less other markup
+    (html/p/latex/ref towards latex/ref), else the nearest path above it: (n * own + weight * other) / (n + weight).
     The score is the geometric mean of text and punctuation ratio; paths below cutoff deviations of all
     scores are residue. Plain text is content in any case.
     """
     names = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(names) - 1), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(names, 1, i), "/").alias("parent")))
+    tails = F.transform(F.sequence(F.lit(2), F.greatest(F.size(names) - 2, F.lit(2))), lambda i: F.struct((F.lit(1000) - i).alias("depth"), F.concat(F.lit("text/"), F.array_join(F.slice(names, i + 1, F.size(names)), "/")).alias("parent")))
+    above = F.when(F.size(names) > 3, F.concat(above, tails)).otherwise(above)
     up = ratios.select(F.col("path").alias("parent"), F.col("text_ratio").alias("pt"), F.col("punct_ratio").alias("pp"))
     near = ratios.select("path", F.explode(above).alias("a")).select("path", "a.*").join(up, "parent").groupBy("path").agg(F.max_by(F.struct("pt", "pp"), "depth").alias("up"))
     s = ratios.join(near, "path", "left").select("*", "up.*")
@@ -333,11 +355,12 @@ def cleaned(records: DataFrame) -> DataFrame:
 
     The residue paths are a set of path names, bounded by the grammar's nesting, not by the number of records.
     """
-    residue = {r[0] for r in scored_paths(path_ratios(path_counts(records))).filter("not content").select("path").collect()}
+    paths = scored_paths(path_ratios(path_counts(records))).select("path", "content").collect()
+    residue, scored = {r[0] for r in paths if not r[1]}, {r[0] for r in paths}
 
     def clean(text: str) -> str:
         nodes = read_nodes(text)
-        return text if [n.path for n in nodes] == ["text"] else clean_text(nodes, residue)
+        return text if [n.path for n in nodes] == ["text"] else clean_text(nodes, residue, scored)
 
     @F.arrow_udf("string")
     def _clean(texts: pa.Array) -> pa.Array:

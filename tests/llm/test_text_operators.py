@@ -206,10 +206,9 @@ def test_plain_records_count_and_come_back(spark):
     assert got == {**{k: texts[k] for k in "abd"}, "c": "x y\n\nz", "g": "one\n\ntwo", "h": "gone"}
     want: dict = {}
     for t in [*texts.values(), texts["a"]]:
-        for n in markup.read_nodes(t or ""):
-            if n.kind != "mark":
-                x = want.setdefault(n.path, [0, 0, 0])
-                x[:] = x[0] + 1, x[1] + len(n.text), x[2] + sum(c in ".,;:!?。，；：！？" for c in n.text)
+        for path, chars, punct in markup.spans(markup.read_nodes(t or "")):
+            x = want.setdefault(path, [0, 0, 0])
+            x[:] = x[0] + 1, x[1] + chars, x[2] + punct
     sums = {x.path: [x.n, x.chars, x.punct] for x in markup.path_counts(r).groupBy("path").agg(*[F.sum(c).alias(c) for c in ("n", "chars", "punct")]).collect()}
     assert sums == want
 
@@ -227,6 +226,22 @@ def test_rare_paths_move_towards_the_nearest_path_above(spark):
     assert markup.scored_paths(spark.createDataFrame(rows[:0], "path string, n_nodes long, text_ratio double, punct_ratio double")).count() == 0
 
 
+def test_nodes_that_go_on_a_sentence_count_with_their_line():
+    got = [*markup.spans(markup.read_nodes("It was <b>bold</b>, and so on.\nDone. <!-- no, not -->\n[x](http://y)"))]
+    assert ("text/html/b", 23, 2) in got and ("text/html/comment", 16, 2) in got and ("text/markdown/link", 1, 0) in got
+
+
+def test_scores_tell_residue_from_text(spark):
+    """No list of kinds decides: what stands apart from sentences is residue, what goes on a sentence is text; rare nested paths follow theirs."""
+    plain = ["The committee met in March, and it heard five reports on roads, bridges and water supply. It will meet again in the autumn, as planned."] * 40
+    styled = [f"{a}The committee met in <b>March</b>, and it heard [five](http://a) reports on ''roads'', \\emph{{bridges}} and water&nbsp;supply.{z}" for a, z in (("", " <!-- x y -->"), ("{{Box|a=1}}\n", ""), ("", "\n[[Category:Towns]]"), ("", " \\cite{x99}"), ("<p>", " \\cite{y88}</p>")) for _ in range(60)]
+    df = spark.createDataFrame([(f"b:{i}", t) for i, t in enumerate(plain + styled)], "rec_key string, text string")
+    got = {r.path: r.content for r in markup.scored_paths(markup.path_ratios(markup.path_counts(df))).collect()}
+    assert {p for p, c in got.items() if not c} == {"text/html/comment", "text/wiki/template", "text/wiki/category", "text/latex/cite", "text/html/p/latex/cite"}
+    clean = {r.clean for r in markup.cleaned(df).collect()}
+    assert clean == {plain[0], "The committee met in March, and it heard five reports on roads, bridges and water supply."}
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("ab<>/&;#*_`[](){}|=\\$'-+\n ~!^", max_size=40))
 def test_the_cheap_test_misses_no_markup(text):
