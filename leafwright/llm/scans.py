@@ -43,7 +43,7 @@ MIN_LENGTH, TIMES = 5, 8
 #: Up to so many misread and cut words travel to the executors as a set; more are joined.
 SET_LIMIT = 300_000
 
-_NO_PROSE = re.compile(r"<\|txt_\w+\|>|<[^<>]{0,200}>|&#?\w+;|(?<!\S)[^\s\\/@_]*[\\/@_]\S*")
+_NO_PROSE = re.compile(r"<\|txt_\w+\|>|<[^<>]*>|&#?\w+;|(?<!\S)[^\s\\/@_]*[\\/@_]\S*")
 _WORD = re.compile(r"[0-9A-Za-z\u00aa-\u058f\u1e00-\u1fff]+")
 _COMPOUND = re.compile(r"[0-9A-Za-z\u00aa-\u058f\u1e00-\u1fff]+(?:-[0-9A-Za-z\u00aa-\u058f\u1e00-\u1fff]+)+")
 _CUT_AT = re.compile(r"(?<=[^\W\d_])[-‐¬\u00ad](?:\s*<\|txt_contd\|>\s*|\s+)(?=([^\W\d_]+))")
@@ -208,7 +208,7 @@ def page_number_in(text: str, pages: set[int]) -> bool:
         return False
     before = ""
     for line in _LINE_END.split(text):
-        if len(line) < 40 and any(c.isdigit() for c in line) and (m := PAGE_LINE.match(line)):
+        if m := PAGE_LINE.match(line):
             n = int(next(x for x in m.groups() if x))
             strict = any(c.isalpha() for c in line) or line.strip()[0] in "-–—"
             if (n in pages if pages else strict) and not _REFERENCE.search(before):
